@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.plans import nested_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {}
+    return dict(nested_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
