@@ -7,11 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.encodings import repaired
 from docloom.llm.leaks import leaks
+from docloom.llm.packing import packed
 from docloom.llm.sentences import sentence_units
 from docloom.sources.tables import latest, table
 
 
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = []
+    for src, key, time in (("document_metadata", "meta_id", "processed_date"), ("docx_metadata", "docx_id", "extracted_at")):
+        one = latest(table(spark, sf_dir, src).select(key, "title", time), key, time)
+        parts.append(one.select(F.lit(src).alias("src"), F.col(key).alias("rec_id"), F.lit(f"{src}.title").alias("grp"), F.col("title").alias("text")))
+    return parts[0].union(parts[1])
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled titles with the chain of wrong decodings and the restored text."""
+    return repaired(_titles(spark, sf_dir)).select("src", "rec_id", "chain", "lost", "original")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of which all or a part was decoded with a wrong encoding."""
+    return repaired(_titles(spark, sf_dir)).select("src", "rec_id")
+
+
+def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2048 tokens."""
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and pieces of every sequence, and the share of the capacity that is used."""
+    rows = p7_sequences(spark, sf_dir)
+    return rows.groupBy("sequence_id").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_pieces")).withColumn("fill", F.round(F.col("n_tokens") / 2048, 6))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the held-out items that leaked into them."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")
@@ -25,7 +56,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p8_found, p9_found)}
+    return {f.__name__: f for f in (p4_found, p4_repaired, p7_sequences, p7_fill, p8_found, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
