@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.addresses import locations, pairs
 from docloom.llm.encodings import repaired
 from docloom.llm.leaks import leaks
 from docloom.llm.packing import packed
@@ -14,6 +15,21 @@ from docloom.llm.sentences import sentence_units
 from docloom.sources.tables import latest, table
 
 
+def _owners(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return latest(table(spark, sf_dir, "owner_records").select("record_id", *columns, "loaded_at"), "record_id", "loaded_at")
+
+
+def p2_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location of every record with an address, and how many records share it."""
+    found = locations(_owners(spark, sf_dir, "address"))
+    return found.join(found.groupBy("location").agg(F.count(F.lit(1)).alias("n_records")), "location").select("record_id", "location", "n_records")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records whose addresses name one location."""
+    return pairs(locations(_owners(spark, sf_dir, "address")), "record_id", "location")
+
+
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for src, key, time in (("document_metadata", "meta_id", "processed_date"), ("docx_metadata", "docx_id", "extracted_at")):
@@ -56,7 +72,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p4_found, p4_repaired, p7_sequences, p7_fill, p8_found, p9_found)}
+    return {f.__name__: f for f in (p2_found, p2_locations, p4_found, p4_repaired, p7_sequences, p7_fill, p8_found, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
