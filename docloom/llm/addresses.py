@@ -28,14 +28,14 @@ STREET_KINDS = {
     "пер": "пер переулок",
     "пр-д": "пр-д пр-зд проезд",
     "пр-т": "пр-т пр-кт просп проспект",
-    "наб": "наб набережная набережнаия",
+    "наб": "наб набережная",
     "б-р": "б-р бул булвар бр",
     "пл": "пл плошад",
     "туп": "туп тупик",
     "ш": "ш шоссе",
 }
 PLACE_KINDS = {"г": "г гор город", "с": "с село", "п": "п пос поселок", "д": "дер деревня", "ст": "ст-ца станица"}
-OTHER = {"область": "обл область област", "район": "р-н р-он раион рн", "край": "краи край", "дом": "д дом", "корпус": "к корп корпус стр строение", "лит": "лит литера литер", "флат": "кв кв-ра квартира оф офис пом помешение комн", "страна": "рф россия россиская россииская федерация россиа"}
+OTHER = {"область": "обл область област", "район": "р-н р-он раион рн", "край": "краи край", "дом": "д дом", "корпус": "к корп корпус стр строение", "лит": "лит литера литер", "флат": "кв кв-ра квартира оф офис пом помешение комн", "страна": "рф россия россиская федерация"}
 SIZES = {"большая": "б бол болшая болшои", "малая": "м мал малая малыи малои мали"}
 ORDINALS = {"первая": "1", "первыи": "1", "перви": "1", "вторая": "2", "второи": "2", "третя": "3", "третии": "3", "четвертая": "4", "пятая": "5"}
 
@@ -55,7 +55,7 @@ def reading(text: str) -> str:
         for a, b in _LATIN:
             s = s.replace(a, b)
         s = s.translate(_LETTER)
-    return re.sub("ии+", "и", s.translate(_FOLD))
+    return re.sub("ии+", "и", s.translate(_FOLD)).replace("иа", "я")
 
 
 _QUOTES = re.compile("[\"«»“”„№]")

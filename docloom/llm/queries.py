@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.llm.addresses import locations, pairs
 from docloom.llm.encodings import repaired
 from docloom.llm.leaks import leaks
+from docloom.llm.names import owners
 from docloom.llm.packing import packed
 from docloom.llm.sentences import sentence_units
 from docloom.sources.tables import latest, table
@@ -48,6 +49,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(_titles(spark, sf_dir)).select("src", "rec_id")
 
 
+def p5_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner of every named record, and how many records name it."""
+    found = owners(_owners(spark, sf_dir, "full_name"))
+    return found.join(found.groupBy("owner").agg(F.count(F.lit(1)).alias("n_records")), "owner").select("record_id", "owner", "n_records")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records that name one person or organisation."""
+    return pairs(owners(_owners(spark, sf_dir, "full_name")), "record_id", "owner")
+
+
 def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
     return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -72,7 +84,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p2_found, p2_locations, p4_found, p4_repaired, p7_sequences, p7_fill, p8_found, p9_found)}
+    return {f.__name__: f for f in (p2_found, p2_locations, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
