@@ -337,7 +337,6 @@ def owners(records: DataFrame, id_col: str = "record_id", name_col: str = "full_
     rows = records.select(F.col(id_col).cast("bigint").alias("record_id"), F.col(name_col).alias("name")).where("name is not null and trim(name) != ''")
     names = kept(rows.mapInArrow(chunked(_read, _PARSED), "record_id bigint, " + ", ".join(f"{p} string" for p in PARTS)))
     people, orgs = names.where("kind = 'P'"), names.where("kind = 'O'")
-    full = _clusters(people.where("given is not null and father is not null").select("record_id", F.concat_ws("|", F.lit("P"), "given", "father", "sex").alias("grp"), F.col("head").alias("word")), radius, _same_word(7, False))
     tails = _tails(orgs)
 
     def cut(batch: pa.RecordBatch) -> dict[str, list]:
@@ -349,7 +348,9 @@ def owners(records: DataFrame, id_col: str = "record_id", name_col: str = "full_
             out["word"].append(h)
         return out
 
-    firms = _clusters(orgs.select("record_id", "head", "tail", "number").mapInArrow(chunked(cut, _ORG), "record_id bigint, grp string, word string"), radius, _same_word(6, False))
+    firms = orgs.select("record_id", "head", "tail", "number").mapInArrow(chunked(cut, _ORG), "record_id bigint, grp string, word string")
+    whole = people.where("given is not null and father is not null").select("record_id", F.concat_ws("|", F.lit("P"), "given", "father", "sex").alias("grp"), F.col("head").alias("word"))
+    full = kept(_clusters(whole.union(firms), radius, _same_word(7, False)))
     # abbreviated persons, the fuller forms first
     sur = people.select("record_id", F.col("head").alias("word"), "given", "given_initial", "father", "father_initial")
     parts = ("owner", "word", "given", "given_initial", "father_initial")
@@ -365,11 +366,7 @@ def owners(records: DataFrame, id_col: str = "record_id", name_col: str = "full_
     for initial in (F.col("father_initial"), F.lit("?")):
         targets = targets.union(known.select("owner", F.concat_ws("|", F.lit("D"), "given_initial", initial).alias("grp"), "word", "n"))
     found_c = _joined(short, targets)
-    out = [full, firms, found_b, found_c]
-    result = out[0].select("record_id", "owner")
-    for o in out[1:]:
-        result = result.union(o.select("record_id", "owner"))
-    return result
+    return full.select("record_id", "owner").union(found_b.select("record_id", "owner")).union(found_c.select("record_id", "owner"))
 
 
 _ORG = pa.schema([("record_id", pa.int64()), ("grp", pa.string()), ("word", pa.string())])
@@ -406,10 +403,9 @@ def _joined(short: DataFrame, known: DataFrame) -> DataFrame:
     least = fits.groupBy("grp", "word").agg(F.min("d").alias("least"))
     each = fits.join(least, ["grp", "word"]).where("d = least").groupBy("grp", "word", "hit").agg(F.sum("n").alias("n"))
     best = each.groupBy("grp", "word").agg(F.max(F.struct("n", "hit")).alias("top"), F.sum("n").alias("all")).select("grp", "word", F.col("top.hit").alias("hit"), (F.col("top.n") >= F.col("all") * _MOST).alias("sure"))
-    # without a full name, abbreviated names join each other
+    # without a full name, abbreviated names join their equals and the least of their near ones
     alone = short.select("grp", "word").distinct().join(best, ["grp", "word"], "left_anti")
-    rest = near.where("d <= 1").join(alone.select("grp", F.col("word").alias("word_1")), ["grp", "word_1"], "left_semi").join(alone.select("grp", F.col("word").alias("word_2")), ["grp", "word_2"], "left_semi")
-    found = components(rest.select(F.xxhash64("grp", "word_1").alias("a"), F.xxhash64("grp", "word_2").alias("b")))
-    node = short.withColumn("node", F.xxhash64("grp", "word")).join(best, ["grp", "word"], "left").join(found, "node", "left")
-    owner = F.when(F.col("hit").isNull(), F.coalesce("component", "node")).when(F.col("sure"), F.col("hit")).otherwise(F.xxhash64(F.lit("alone"), "record_id"))
-    return node.select("record_id", "word", owner.alias("owner"), F.col("hit").isNull().alias("new"))
+    rest = ways.where("d <= 1").join(alone, ["grp", "word"], "left_semi").join(alone.withColumnRenamed("word", "other"), ["grp", "other"], "left_semi").groupBy("grp", "word").agg(F.min(F.xxhash64("grp", "other")).alias("node"))
+    node = short.join(best, ["grp", "word"], "left").join(rest, ["grp", "word"], "left")
+    owner = F.when(F.col("hit").isNull(), F.col("node")).when(F.col("sure"), F.col("hit")).otherwise(F.xxhash64(F.lit("alone"), "record_id"))
+    return kept(node.select("record_id", "word", owner.alias("owner"), F.col("hit").isNull().alias("new")))
