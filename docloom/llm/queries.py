@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.llm.addresses import locations, pairs
 from docloom.llm.encodings import repaired
 from docloom.llm.leaks import leaks
+from docloom.llm.markup import clean_blocks, markup
 from docloom.llm.names import owners
 from docloom.llm.packing import packed
 from docloom.llm.sentences import sentence_units
@@ -31,6 +32,24 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(locations(_owners(spark, sf_dir, "address")), "record_id", "location")
 
 
+def _marked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = []
+    for src, key, column, time in (("ocr_responses", "page_id", "markdown", "received_at"), ("full_parse_results", "result_id", "full_markdown", "parsed_at")):
+        one = latest(table(spark, sf_dir, src).select(key, column, time), key, time)
+        parts.append(one.select(F.lit(src).alias("src"), F.col(key).alias("rec_id"), F.col(column).alias("text")))
+    return parts[0].union(parts[1])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of markup in every parsed document."""
+    return markup(_marked_up(spark, sf_dir))
+
+
+def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean text of every parsed document, block by block."""
+    return clean_blocks(_marked_up(spark, sf_dir))
+
+
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for src, key, time in (("document_metadata", "meta_id", "processed_date"), ("docx_metadata", "docx_id", "extracted_at")):
@@ -84,7 +103,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p2_found, p2_locations, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
+    return {f.__name__: f for f in (p2_found, p2_locations, p3_found, p3_text, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
