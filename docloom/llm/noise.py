@@ -7,15 +7,22 @@ strings to the hashes of the frequent words and joining on the hash finds their
 rare misread variants; ranked by frequency the best one is the correction.
 Words cut at line ends are joined when the corpus knows the joined word better
 than the hyphenated one.  Lines at page edges that pages of a document repeat
-are running lines.
+are running lines.  The repaired text leaves running lines and page numbers
+out, joins cut words, puts the right words in and joins wrapped lines.
 """
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.arrow import chunked
 from docloom.functions.shared import kept
+from docloom.llm.sentences import paragraphs
 
 # Strings that scanning confuses, the right one and what it is read as.
 CONFUSED = """а>a е>с е>e т>m т>г о>с р>p о>o о>0 н>п и>u н>и и>н к>н л>п к>k л>ji в>8 в>b п>n п>л д>л д>g з>3 з>э г>1 ч>4 г>r ы>ьi ы>bi б>6 ю>io ю>10 ш>щ ш>ni ж>к
@@ -25,10 +32,10 @@ e>c t>f s>5 a>o n>ri o>0 d>cl i>1 u>ii i>l l>1 m>rn l>i g>q h>b g>9 c>e rn>m cl>
 _LOOKS = ("ёaeopcyxkmugrbn0834613э0іhtв", "еаеорсухктигрвпозвчбгззоинтв")
 LETTERS = "a-zа-яёәғқңөұүһі"
 WORD = rf"(?U)[{LETTERS}0-9]+(?:-[{LETTERS}0-9]+)*"
-#: a hyphen or hyphen-like sign right after a letter, then a line break or blanks, then a small letter
-CUT = rf"(?i)([{LETTERS}0-9]+(?:-[{LETTERS}0-9]+)*)([-‐‑–¬\x{{ad}}])([ \t]*(?:\r?\n)[ \t]*|[ \t]+)(?-i)([{LETTERS}]+)"
-PAGE_NO = r"(?i)(?:[-—–|\[(] ?)?(?:(?:стр|с|лист|page|p|бет)\.?\s*)?(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4}|\s+листов\s+\d{1,4})?(?: ?[-—–|\])])?"
-PAGE_MARKED = r"(?i)(?:стр|с|лист|page|p|бет)\.?\s*\d|^\s*[-—–|\[(]|[-—–|\])]\s*$|\d\s*(?:из|/|of)\s*\d"
+#: Java folds the case of Cyrillic letters only with the flag u.  A hyphen or hyphen-like sign right after a letter, then a line break or blanks, then a small letter
+CUT = rf"(?iu)([{LETTERS}0-9]+(?:-[{LETTERS}0-9]+)*)([-‐‑–¬\x{{ad}}])([ \t]*(?:\r?\n)[ \t]*|[ \t]+)(?-i)([{LETTERS}]+)"
+PAGE_NO = r"(?iu)(?:[-—–|\[(] ?)?(?:(?:стр|с|лист|page|p|бет)\.?\s*)?(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4}|\s+листов\s+\d{1,4})?(?: ?[-—–|\])])?"
+PAGE_MARKED = r"(?iu)(?:стр|с|лист|page|p|бет)\.?\s*\d|^\s*[-—–|\[(]|[-—–|\])]\s*$|\d\s*(?:из|/|of)\s*\d"
 
 
 def anagram_hash(word: Column) -> Column:
@@ -93,15 +100,22 @@ def _edge_lines(pages: DataFrame, edge: int = 3) -> DataFrame:
     )
 
 
-def noise(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> DataFrame:
-    """src, rec_id, noise: one row per record and kind of noise.
+@dataclass
+class _Evidence:
+    """Where the noise is: records with cut words (own, joined), misread words (word), page numbers and running lines (at)."""
 
-    ``pages`` has src, rec_id, doc_id, page, text and far (true where a block's
-    box lies inside the page, so that it can be no running line).  Kinds are
-    'hyphen', 'misread', 'running' and 'pageno'.  Null and empty texts have no
-    rows, repeated records give one row, a document of null name has no running
-    lines.
-    """
+    vocab: DataFrame
+    bad: DataFrame
+    cuts: DataFrame
+    direct: DataFrame
+    misread: DataFrame
+    pageno: DataFrame
+    same: DataFrame
+    variant: DataFrame
+    off: DataFrame
+
+
+def _evidence(pages: DataFrame, least_pages: int, page_share: float) -> _Evidence:
     pages = pages.where("text is not null and text != ''")
     vocab = kept(vocabulary(pages))
     bad = kept(misread_words(vocab))
@@ -113,7 +127,7 @@ def noise(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> D
     forms = cuts.select("joined", "own", "a", "b").distinct()
     n = lambda c: vocab.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
     judged = forms.join(n("joined"), "joined", "left").join(n("own"), "own", "left").select("joined", "own", F.coalesce("n_joined", F.lit(0)).alias("n_joined"), F.coalesce("n_own", F.lit(0)).alias("n_own")).distinct()
-    hyphen = cuts.join(judged, ["joined", "own"]).where("n_own <= n_joined and (broken or n_joined > 0) and length(b) > 1").select("src", "rec_id", F.lit("hyphen").alias("noise"))
+    cut = cuts.join(judged, ["joined", "own"]).where("n_own <= n_joined and (broken or n_joined > 0) and length(b) > 1").select("src", "rec_id", "own")
 
     # misread words: whatever is no frequent word meets the misread ones
     whole = F.regexp_replace("text", rf"([{LETTERS}])[-‐‑–¬\x{{ad}}][ \t]*(?:\r?\n[ \t]*|[ \t]+)(?=[{LETTERS}])", "$1")
@@ -121,21 +135,21 @@ def noise(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> D
     common = vocab.join(F.broadcast(vocab.agg(F.sum("n").alias("total")))).where("n >= greatest(8, total * 2e-6)").select("word")
     seldom = words.join(F.broadcast(common), "word", "left_anti")
     direct = seldom.where(_mixed(F.col("word")))
-    misread = direct.select("src", "rec_id").union(seldom.join(bad, "word", "left_semi").select("src", "rec_id")).select("src", "rec_id", F.lit("misread").alias("noise"))
+    misread = seldom.join(bad, "word").select("src", "rec_id", "word", "right")
 
     lines = kept(_edge_lines(pages).where("length(line) <= 160"))
     number = F.regexp_extract("line", rf"^\s*{PAGE_NO}\s*$", 1)
-    tail = F.regexp_extract("line", r"(?i)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", 1)
-    lead = F.regexp_extract("line", r"(?i)^(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?(?:\s{2,}|\t|\s\|\s)\S", 1)
+    tail = F.regexp_extract("line", r"(?iu)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", 1)
+    lead = F.regexp_extract("line", r"(?iu)^(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?(?:\s{2,}|\t|\s\|\s)\S", 1)
     table = F.coalesce(F.col("after"), F.lit("")).rlike(r"^\(") | F.coalesce(F.col("before"), F.lit("")).rlike(r"(?:шт|руб|кг|ед)\.?$")
     own = F.col("page").cast("string")
     alone = (number == own) & (F.col("line").rlike(PAGE_MARKED) | (~table & ((F.col("src") != "ir_blocks") | (F.col("n_lines") == 1)))) & ~F.col("far")
-    pageno = lines.where(alone | (tail == own) | (lead == own)).select("src", "rec_id", F.lit("pageno").alias("noise"))
+    pageno = lines.where(alone | (tail == own) | (lead == own)).select("src", "rec_id", "at", F.coalesce(alone, F.lit(False)).alias("alone"))
 
     # running lines: without the page number, look-alikes as one sign
-    bare = F.trim(F.regexp_replace("line", r"(?i)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)\d{1,4}(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", ""))
+    bare = F.trim(F.regexp_replace("line", r"(?iu)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)\d{1,4}(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", ""))
     low = F.translate(F.lower(F.col("bare")), *_LOOKS)
-    edge = lines.where("doc_id is not null and not far").where(number == "").withColumn("bare", bare).where("length(bare) >= 5").withColumn("norm", F.regexp_replace(low, r"[\s\x{a0}]+", " "))
+    edge = lines.where("doc_id is not null and not far").where(number == "").withColumn("bare", bare).where("length(bare) >= 5").where(~F.col("bare").rlike(r"^[•–▪◦*#>|\\<`~={\[-]")).withColumn("norm", F.regexp_replace(low, r"[\s\x{a0}]+", " "))
     spread = edge.select("src", "doc_id", "page").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"))
     repeats = edge.select("doc_id", "norm", "src", "page").distinct().groupBy("doc_id", "norm").agg(F.count(F.lit(1)).alias("n")).join(spread, "doc_id")
     running = repeats.where((F.col("n") >= least_pages) & (F.col("n") >= F.col("n_pages") * page_share) | (F.col("n") == 2) & (F.col("n_pages") <= 4)).select("doc_id", "norm", "n")
@@ -145,8 +159,124 @@ def noise(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> D
     variant = rest.join(running.select("doc_id", F.col("norm").alias("right")), "doc_id").where("abs(length(norm) - length(right)) <= 3").where(F.levenshtein("norm", "right", 3).between(1, 3)).where("length(right) >= 12 or levenshtein(norm, right) <= 1")
     raw = same.groupBy("doc_id", "norm", F.regexp_replace("bare", r"[\s\x{a0}]+", " ").alias("raw")).agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id", "norm").agg(F.max_by("raw", F.struct("n", "raw")).alias("usual"))
     off = same.join(raw, ["doc_id", "norm"]).where(F.lower(F.regexp_replace("bare", r"[\s\x{a0}]+", " ")) != F.lower("usual"))
-    kinds = [hyphen, misread, pageno, same.select("src", "rec_id", F.lit("running").alias("noise")), variant.select("src", "rec_id", F.lit("running").alias("noise")), variant.select("src", "rec_id", F.lit("misread").alias("noise")), off.select("src", "rec_id", F.lit("misread").alias("noise"))]
-    out = kinds[0]
-    for k in kinds[1:]:
-        out = out.union(k)
+    return _Evidence(vocab, bad, cut, direct, misread, pageno, same, variant, off)
+
+
+def noise(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> DataFrame:
+    """src, rec_id, noise: one row per record and kind of noise.
+
+    ``pages`` has src, rec_id, doc_id, page, text and far (true where a block's
+    box lies inside the page, so that it can be no running line).  Kinds are
+    'hyphen', 'misread', 'running' and 'pageno'.  Null and empty texts have no
+    rows, repeated records give one row, a document of null name has no running
+    lines.
+    """
+    e = _evidence(pages, least_pages, page_share)
+    out = None
+    for df, kind in ((e.cuts, "hyphen"), (e.direct, "misread"), (e.misread, "misread"), (e.pageno, "pageno"), (e.same, "running"), (e.variant, "running"), (e.variant, "misread"), (e.off, "misread")):
+        one = df.select("src", "rec_id", F.lit(kind).alias("noise"))
+        out = one if out is None else out.union(one)
     return out.distinct()
+
+
+def _mixed_right(direct: DataFrame, vocab: DataFrame, least: int = 3) -> DataFrame:
+    """word -> right: words with foreign look-alikes and the most frequent pure word of the same looks."""
+    words = direct.select("word").distinct().withColumn("looks", F.translate("word", *_LOOKS))
+    pure = vocab.where((F.col("n") >= least) & F.col("word").rlike("^[а-яёәғқңөұүһі-]+$")).select(F.translate("word", *_LOOKS).alias("looks"), F.col("word").alias("right"), "n")
+    return words.join(pure, "looks").groupBy("word").agg(F.max_by("right", F.struct("n", "right")).alias("right"))
+
+
+def repaired_pages(pages: DataFrame, least_pages: int = 3, page_share: float = 0.12) -> DataFrame:
+    """src, rec_id, text: every non-empty text as readable paragraphs, one per line.
+
+    ``pages`` as in ``noise``.  Running lines and page numbers are left out
+    (a record that holds nothing else has the text ''), cut words are joined,
+    misread words with a known right one are replaced, wrapped lines go on in
+    one paragraph.  A word cut between two records stays cut.
+    """
+    e = _evidence(pages, least_pages, page_share)
+    empty = F.lit(None)
+    fix = e.misread.select("src", "rec_id", "word", "right").union(e.direct.join(e.bad, "word", "left_anti").join(_mixed_right(e.direct, e.vocab), "word").select("src", "rec_id", "word", "right"))
+    parts = [
+        e.cuts.select("src", "rec_id", F.lit("join").alias("what"), F.col("own").alias("a"), empty.cast("string").alias("b")),
+        fix.select("src", "rec_id", F.lit("fix").alias("what"), F.col("word").alias("a"), F.col("right").alias("b")),
+        e.pageno.select("src", "rec_id", F.when(F.col("alone"), "drop").otherwise("strip").alias("what"), F.col("at").cast("string").alias("a"), empty.cast("string").alias("b")),
+        e.same.select("src", "rec_id", F.lit("drop").alias("what"), F.col("at").cast("string").alias("a"), empty.cast("string").alias("b")),
+        e.variant.select("src", "rec_id", F.lit("drop").alias("what"), F.col("at").cast("string").alias("a"), empty.cast("string").alias("b")),
+    ]
+    orders = parts[0]
+    for p in parts[1:]:
+        orders = orders.union(p)
+    # at most one order per word or line of the record
+    orders = orders.groupBy("src", "rec_id").agg(F.collect_set(F.struct("what", "a", "b")).alias("orders"))
+    texts = pages.where("text is not null and text != ''").select("src", "rec_id", "text").join(orders, ["src", "rec_id"], "left")
+    return texts.select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "text", "orders").mapInArrow(chunked(_repair_batch, _REPAIRED, 128), "src string, rec_id bigint, text string")
+
+
+_REPAIRED = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("text", pa.string())])
+_CUT = re.compile(CUT.replace(r"\x{ad}", "\xad").replace("(?iu)", "(?i:", 1).replace("(?-i)", ")"))
+_WORD = re.compile(WORD.replace("(?U)", ""), re.I)
+_PAGE = r"(?:стр|с|лист|page|p)\.?\s*\d{1,4}(?:\s*(?:из|/|of)\s*\d{1,4})?"
+_TAIL = re.compile(rf"(?:\s{{2,}}|\t|\s\|\s?){_PAGE}\s*$", re.I)
+_LEAD = re.compile(rf"^\s*{_PAGE}(?:\s{{2,}}|\t|\s\|\s)(?=\S)", re.I)
+_ENDS_CUT = re.compile(rf"[{LETTERS}0-9][-‐‑–¬\xad]$", re.I)
+_GOES_ON = re.compile(rf"[{LETTERS}]")
+_ITEM = re.compile(r"[•–▪◦*#>|-]|\d+[.)]\s")
+_PROSE = re.compile(r"[.!?,;] ")
+
+
+def _cased(like: str, word: str) -> str:
+    if len(like) > 1 and like.upper() == like and like.lower() != like:
+        return word.upper()
+    return word[0].upper() + word[1:] if like[0].isupper() else word
+
+
+def _goes_on(line: str, after: str, least: int = 40) -> bool:
+    """Whether a line break inside a text of mixed widths is no paragraph's end."""
+    if len(line) < least or _ITEM.match(line) or _ITEM.match(after):
+        return False
+    return line[-1] not in ".!?…:;»\")" and (after[0].islower() or bool(_PROSE.search(line)))
+
+
+def repaired_text(text: str, drop: set[int], strip: set[int], joins: set[str], fixes: dict[str, str]) -> str:
+    """One text without the lines ``drop`` and the page numbers in the lines ``strip`` (counted without blank lines), its words joined and fixed."""
+    lines, at = [], 0
+    for line in re.split(r"\r?\n", text):
+        if line.strip(" ") == "":
+            lines.append("")
+            continue
+        if at not in drop:
+            lines.append(_LEAD.sub("", _TAIL.sub("", line)) if at in strip else line)
+        at += 1
+    text = "\n".join(lines)
+    spans: list[list[int]] = []
+    for a, b, _ in paragraphs(text):
+        last = text[spans[-1][0] : spans[-1][1]].rsplit("\n", 1)[-1] if spans else ""
+        if last and text[spans[-1][1] : a].count("\n") == 1 and (_ENDS_CUT.search(last) and _GOES_ON.match(text, a) or _goes_on(last, text[a:b])):
+            spans[-1][1] = b
+        else:
+            spans.append([a, b])
+
+    def join(m: re.Match) -> str:
+        first, gap, rest = m.group(1), m.group(3), m.group(4)
+        if f"{first}-{rest}".lower() in joins:
+            return first + rest
+        return f"{first}-{rest}" if "\n" in gap and m.group(2) != "–" else m.group()
+
+    out = []
+    for a, b in spans:
+        part = re.sub(r"[ \t]*\n[ \t]*", " ", _CUT.sub(join, text[a:b]))
+        out.append(_WORD.sub(lambda m: _cased(m.group(), fixes[m.group().lower()]) if m.group().lower() in fixes else m.group(), part).replace("\xad", ""))
+    return "\n".join(out)
+
+
+def _repair_batch(batch: pa.RecordBatch) -> dict[str, list]:
+    out: dict[str, list] = {n: [] for n in _REPAIRED.names}
+    for src, rec, text, orders in zip(*[c.to_pylist() for c in batch.columns]):
+        by: dict[str, dict[str, str]] = {k: {} for k in ("drop", "strip", "join", "fix")}
+        for o in orders or ():
+            by[o["what"]][o["a"]] = o["b"]
+        out["src"].append(src)
+        out["rec_id"].append(rec)
+        out["text"].append(repaired_text(text, {int(x) for x in by["drop"]}, {int(x) for x in by["strip"]}, set(by["join"]), by["fix"]))
+    return out

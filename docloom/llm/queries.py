@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions.shared import kept
 from docloom.llm.addresses import locations, pairs
 from docloom.llm.encodings import repaired
 from docloom.llm.leaks import leaks
 from docloom.llm.markup import clean_blocks, markup
 from docloom.llm.names import owners
+from docloom.llm.noise import noise, repaired_pages
 from docloom.llm.packing import packed
 from docloom.llm.sentences import sentence_units
 from docloom.sources.tables import latest, table
@@ -21,6 +23,28 @@ def _owners(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return latest(table(spark, sf_dir, "owner_records").select("record_id", *columns, "loaded_at"), "record_id", "loaded_at")
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts of scanned pages; far: the block's box keeps off the upper and lower edge of an A4 page in points."""
+    far = F.coalesce((F.col("bbox.y0") >= 110) & (F.col("bbox.y1") <= 760), F.lit(False))
+    out = None
+    for src, key, page, column, time in (("ir_blocks", "block_no", "page", "content", "loaded_at"), ("page_contents", "content_id", "page_num", "text", "loaded_at"), ("ocr_responses", "page_id", "page", "markdown", "received_at")):
+        rows = table(spark, sf_dir, src)
+        one = latest(rows.select(key, "doc_id", page, column, (far if src == "ir_blocks" else F.lit(False)).alias("far"), time), key, time)
+        one = one.select(F.lit(src).alias("src"), F.col(key).alias("rec_id"), "doc_id", F.col(page).alias("page"), F.col(column).alias("text"), "far")
+        out = one if out is None else out.union(one)
+    return kept(out.where("text is not null and text != ''"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of noise in every scanned text."""
+    return noise(_scanned(spark, sf_dir))
+
+
+def p1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scanned text repaired into readable paragraphs."""
+    return repaired_pages(_scanned(spark, sf_dir))
+
+
 def p2_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location of every record with an address, and how many records share it."""
     found = locations(_owners(spark, sf_dir, "address"))
@@ -103,7 +127,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p2_found, p2_locations, p3_found, p3_text, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_text, p2_found, p2_locations, p3_found, p3_text, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
