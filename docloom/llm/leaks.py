@@ -1,9 +1,9 @@
 """Passages of held-out items inside a corpus.
 
-A generalised suffix automaton of the normalised items is built once and sent
-to the executors; every document streams its tokens through it and the longest
-matching lengths are tracked.  Items whose long matches reach a share of the
-item are aligned with the document exactly: matching runs on one diagonal are
+An index of the short runs of the normalised items is built once and sent to
+the executors; every document looks its own runs up in it.  Items that share as
+many runs with the document as any acceptable alignment has at least are
+aligned with it exactly: matching runs on one diagonal are
 joined over a few exchanged words, runs of the required length or over a whole
 sentence of the item count, and an item leaked when they cover the required
 share of it.
@@ -28,6 +28,17 @@ _TOKENS = re.compile(r"[一-鿿]|[^\W_一-鿿]+")
 _HAN = re.compile("[一-鿿]")
 
 
+# An alignment that counts has a run of three (or two and two around an exchanged word) for every sixth of its tokens at least:
+# a stretch of L >= 10 with m <= L // 9 + 1 exchanged words in runs of two and more has L - 3 m - 2 >= L / 5 of them, a sentence
+# with at most one exchanged word L / 6 (2 + 1 + 3 tokens).  Alignments that overlap on the item can share a run at most twice.
+_SEED_SHARE = 12
+
+
+def _threes(seq: list[int]) -> list[int]:
+    """Keys of the runs of three known tokens."""
+    return [a << 42 | b << 21 | c for a, b, c in zip(seq, seq[1:], seq[2:]) if a and b and c]
+
+
 def tokens(text: str) -> list[str]:
     """Words in lower case, Han signs one by one."""
     return _TOKENS.findall(text.lower())
@@ -47,8 +58,8 @@ class _Keys(dict):
         return got
 
 
-class Automaton:
-    """Generalised suffix automaton over token numbers of the items."""
+class Index:
+    """Token numbers of the items and where their short runs occur."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.classes: dict[str, int] = {}
@@ -68,81 +79,28 @@ class Automaton:
                 spans.append((at, at + n))
                 at += n
             self.sentences.append(spans)
-        self.next: list[dict[int, int]] = [{}]
-        self.link = [-1]
-        self.length = [0]
-        own: list[set[int]] = [set()]
+        # short runs -> (item, number of its places) of all items that hold them
+        threes: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
+        split: dict[tuple, dict[int, int]] = defaultdict(lambda: defaultdict(int))
         for n, seq in enumerate(self.words):
-            last = 0
-            for c in seq:
-                last = self._extend(last, c, own)
-                own[last].add(n)
-        for s in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
-            own[self.link[s]] |= own[s]
-        self.items = [tuple(sorted(x)) for x in own]
-        self.items[0] = ()
-
-    def _extend(self, last: int, c: int, own: list[set[int]]) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        if c in nxt[last]:
-            q = nxt[last][c]
-            if length[q] == length[last] + 1:
-                return q
-            return self._clone(last, q, c, own)
-        cur = len(length)
-        nxt.append({})
-        link.append(0)
-        length.append(length[last] + 1)
-        own.append(set())
-        p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
-            p = link[p]
-        if p >= 0:
-            q = nxt[p][c]
-            link[cur] = q if length[q] == length[p] + 1 else self._clone(p, q, c, own)
-        return cur
-
-    def _clone(self, p: int, q: int, c: int, own: list[set[int]]) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        new = len(length)
-        nxt.append(dict(nxt[q]))
-        link.append(link[q])
-        length.append(length[p] + 1)
-        own.append(set())
-        link[q] = new
-        while p >= 0 and nxt[p].get(c) == q:
-            nxt[p][c] = new
-            p = link[p]
-        return new
-
-    def matches(self, seq: list[int], least: int) -> list[tuple[int, int, int]]:
-        """(end, length, state) of the maximal matches of at least ``least`` tokens."""
-        nxt, link, length = self.next, self.link, self.length
-        out = []
-        state = size = 0
-        for at, c in enumerate(seq):
-            to = nxt[state].get(c) if c else None
-            if to is not None:
-                state = to
-                size += 1
-                continue
-            if size >= least:
-                out.append((at, size, state))
-            if not c:
-                state = size = 0
-                continue
-            while state and c not in nxt[state]:
-                state = link[state]
-            size = length[state]
-            if c in nxt[state]:
-                state = nxt[state][c]
-                size += 1
-            else:
-                state = size = 0
-        if size >= least:
-            out.append((len(seq), size, state))
-        return out
+            for key in _threes(seq):
+                threes[key][n] += 1
+            for a in sorted({a for x, y in self.sentences[n] if 0 < y - x <= 5 for a in range(max(0, y - 5), min(x, len(seq) - 5) + 1)}):
+                split[seq[a], seq[a + 1], seq[a + 3], seq[a + 4]][n] += 1
+        self.threes = {k: tuple(v.items()) for k, v in threes.items()}
+        self.split = {k: tuple(v.items()) for k, v in split.items()}
+
+    def seeds(self, seq: list[int]) -> dict[int, int]:
+        """Item number -> places of the item where a run of three tokens, or two and two around an exchanged one, is found in seq."""
+        hits: dict[int, int] = defaultdict(int)
+        for key in self.threes.keys() & set(_threes(seq)):
+            for n, times in self.threes[key]:
+                hits[n] += times
+        if self.split:
+            for four in self.split.keys() & set(zip(seq, seq[1:], seq[3:], seq[4:])):
+                for n, times in self.split[four]:
+                    hits[n] += times
+        return hits
 
     def covered(self, n: int, seq: list[int], where: dict[int, list[int]], stretch: int, gap: int = 2) -> float:
         """Share of item n that stretches found in seq cover.
@@ -183,15 +141,10 @@ class Automaton:
 
     def leaked(self, seq: list[int], share: float, words: int, signs: int) -> list[tuple[int, float]]:
         """(item number, covered share) of the items that leaked into one token stream."""
-        hits: dict[int, int] = defaultdict(int)
-        for _, size, state in self.matches(seq, 7):
-            for n in self.items[state]:
-                if size >= 12 or not self.han[n]:
-                    hits[n] += size
         out = []
         where: dict[int, list[int]] | None = None
-        for n, total in hits.items():
-            if total < 0.3 * share * len(self.words[n]):
+        for n, total in self.seeds(seq).items():
+            if total * _SEED_SHARE < share * len(self.words[n]):
                 continue
             if where is None:
                 where = defaultdict(list)
@@ -208,7 +161,7 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.4, words: int = 10
     """doc_id, item_id, share: the items of which at least ``share`` recurs in a document.
 
     ``items`` is held-out material: it is read on the driver in blocks of at
-    most ``block_chars`` characters, and one automaton per block is broadcast;
+    most ``block_chars`` characters, and one index per block is broadcast;
     the corpus streams once per block and is never shuffled.  Null and empty
     texts have no tokens and leak nothing; an empty item leaks nowhere;
     repeated documents give repeated rows, repeated items one row each.
@@ -225,7 +178,7 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.4, words: int = 10
         room -= len(text)
     out = None
     for block in blocks:
-        shared = spark.sparkContext.broadcast(Automaton(block))
+        shared = spark.sparkContext.broadcast(Index(block))
         one = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).where("text is not null").mapInArrow(_stream(shared, share, words, signs), "doc_id bigint, item_id bigint, share double")
         out = one if out is None else out.union(one)
     return out
@@ -236,15 +189,15 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share",
 
 def _stream(shared, share: float, words: int, signs: int):
     def run(batches):
-        auto = shared.value
-        keys = _Keys(auto.classes)
+        index = shared.value
+        keys = _Keys(index.classes)
 
         def one(batch: pa.RecordBatch) -> dict[str, list]:
             docs, ids, shares = [], [], []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for n, got in auto.leaked([keys[x] for x in tokens(t)], share, words, signs):
+                for n, got in index.leaked([keys[x] for x in tokens(t)], share, words, signs):
                     docs.append(d)
-                    ids.append(auto.ids[n])
+                    ids.append(index.ids[n])
                     shares.append(got)
             return {"doc_id": docs, "item_id": ids, "share": shares}
 

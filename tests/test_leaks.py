@@ -1,0 +1,30 @@
+from docloom.llm.leaks import Index, _Keys, tokens
+
+
+def leaked(items, text):
+    index = Index(list(enumerate(items)))
+    keys = _Keys(index.classes)
+    return sorted(n for n, _ in index.leaked([keys[t] for t in tokens(text)], 0.4, 10, 20))
+
+
+W = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+
+
+def test_exchanged_word_in_the_middle():
+    assert leaked([" ".join(W) + "."], " ".join(["so", *W[:6], "other", *W[7:], "then"])) == [0]
+
+
+def test_scattered_short_sentences():
+    item = "Alpha beta gamma delta. Epsilon zeta eta theta. Iota kappa lambda mu."
+    assert leaked([item], "Intro words. Alpha beta gamma delta. Some filler here. Iota kappa lambda mu.") == [0]
+    assert leaked(["One two wrong four five. Six seven."], "start one two three four five end") == [0]
+
+
+def test_chinese_sign_changed():
+    item = "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉。"
+    assert leaked([item], "前" + item[:10] + "变" + item[11:20] + "后") == [0]
+
+
+def test_part_shared_with_another_item():
+    assert leaked([" ".join(W), " ".join([*W, "nu", "xi", "omicron"])], " ".join([*W, "nu", "xi", "omicron"])) == [0, 1]
+    assert leaked([" ".join(W)], "nothing of this recurs here at all") == []
