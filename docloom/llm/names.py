@@ -403,9 +403,13 @@ def _joined(short: DataFrame, known: DataFrame) -> DataFrame:
     least = fits.groupBy("grp", "word").agg(F.min("d").alias("least"))
     each = fits.join(least, ["grp", "word"]).where("d = least").groupBy("grp", "word", "hit").agg(F.sum("n").alias("n"))
     best = each.groupBy("grp", "word").agg(F.max(F.struct("n", "hit")).alias("top"), F.sum("n").alias("all")).select("grp", "word", F.col("top.hit").alias("hit"), (F.col("top.n") >= F.col("all") * _MOST).alias("sure"))
-    # without a full name, abbreviated names join their equals and the least of their near ones
+    # without a full name, abbreviated names join their equals and all that near ones link them to
     alone = short.select("grp", "word").distinct().join(best, ["grp", "word"], "left_anti")
-    rest = ways.where("d <= 1").join(alone, ["grp", "word"], "left_semi").join(alone.withColumnRenamed("word", "other"), ["grp", "other"], "left_semi").groupBy("grp", "word").agg(F.min(F.xxhash64("grp", "other")).alias("node"))
+    alone = kept(alone)
+    near = ways.where("d <= 1 and word != other").join(alone, ["grp", "word"], "left_semi").join(alone.withColumnRenamed("word", "other"), ["grp", "other"], "left_semi")
+    linked = components(near.select(F.xxhash64("grp", "word").alias("a"), F.xxhash64("grp", "other").alias("b")))
+    own = alone.withColumn("own", F.xxhash64("grp", "word"))
+    rest = own.join(linked, own["own"] == linked["node"], "left").select("grp", "word", F.coalesce("component", "own").alias("node"))
     node = short.join(best, ["grp", "word"], "left").join(rest, ["grp", "word"], "left")
     owner = F.when(F.col("hit").isNull(), F.col("node")).when(F.col("sure"), F.col("hit")).otherwise(F.xxhash64(F.lit("alone"), "record_id"))
     return kept(node.select("record_id", "word", owner.alias("owner"), F.col("hit").isNull().alias("new")))

@@ -1,0 +1,13 @@
+from pyspark.sql import SparkSession
+
+from docloom.llm.names import _joined
+
+
+def test_typos_of_one_abbreviated_name_share_an_owner():
+    spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+    # every form is one typo from the first, and two from each other; whichever hash is least
+    words = ["караваевич", "кораваевич", "карабаевич", "караваевиц", "караваедич", "каранаевич"]
+    short = spark.createDataFrame([(n, "D|и|п", w) for n, w in enumerate(words)], "record_id bigint, grp string, word string")
+    known = spark.createDataFrame([], "owner bigint, grp string, word string, n bigint")
+    rows = _joined(short, known).collect()
+    assert len(rows) == len(words) and len({r.owner for r in rows}) == 1
