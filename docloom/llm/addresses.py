@@ -4,9 +4,10 @@ An address is read into a bag: its numbers with their roles (house, letter,
 building, flat), its street with kind and modifiers, settlement, district,
 region and postal code, all in one reading alphabet for Cyrillic and both
 Latin transcriptions.  Linking is numbers first: records are blocked on the
-sorted digit tokens plus one rare word, remaining words are intersected, and
-words without a partner may be one typo apart when at least one of them is
-rare.
+sorted digit tokens plus one parsed word (settlement or street), the parts must
+agree, and the other word may be a typo apart when at least one of the two is
+rare.  There is no overlap over all tokens: a word that the parser puts into
+the wrong part is not rescued.
 """
 
 from __future__ import annotations
@@ -242,10 +243,9 @@ def _most(df: DataFrame, key: str, value: str) -> DataFrame:
 def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "address") -> DataFrame:
     """record_id, location of every record with a non-blank address.
 
-    Numbers first: readings are blocked on their sorted digit tokens plus one
-    rare word (the settlement, else the street); the remaining words of the two
-    sides are intersected, and words without a partner must be within two typos
-    with one of them rare.  A postal code stands for its settlement.  Null and
+    Numbers first: readings are blocked on their sorted digit tokens plus the
+    settlement or the street; modifier, house, building and flat must be equal,
+    and the other word must be equal or within two typos with one of them rare.  A postal code stands for its settlement.  Null and
     blank addresses have no row; equal readings always share a location; an
     address without settlement and postal code stands alone with its equals.
     """
