@@ -245,7 +245,7 @@ def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "ad
 
     Numbers first: readings are blocked on their sorted digit tokens plus the
     settlement or the street; modifier, house, building and flat must be equal,
-    and the other word must be equal or within two typos with one of them rare.  A postal code stands for its settlement.  Null and
+    and the other word must be equal or within two typos with one of them rare.  A postal code stands for its settlement, by itself where no record names that.  Null and
     blank addresses have no row; equal readings always share a location; an
     address without settlement and postal code stands alone with its equals.
     """
@@ -260,7 +260,9 @@ def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "ad
     fix_post = fix_place.select(F.col("word").alias("postal_place"), F.col("target").alias("post_fix"))
     forms = named.join(fix_post, "postal_place", "left").select(
         "record_id",
-        F.coalesce("post_fix", "postal_place", "place_fix", "place").alias("place"),
+        F.coalesce("post_fix", "postal_place", "place_fix", "place", F.concat(F.lit("postal:"), "postal")).alias("place"),
+        "region",
+        "district",
         F.coalesce("street_fix", "street").alias("street"),
         "street_kind",
         "modifier",
@@ -270,7 +272,9 @@ def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "ad
         F.concat_ws(" ", F.sort_array(F.array_compact(F.array("house", "corp", "flat", F.regexp_extract(F.coalesce("modifier", F.lit("")), r"\d+", 0))))).alias("digits"),
     )
     node = F.xxhash64(*[F.coalesce(c, F.lit("")) for c in ("place", "street", "street_kind", "modifier", "house", "corp", "flat")])
-    forms = kept(forms.withColumn("node", F.when(F.col("place").isNull(), F.xxhash64(F.lit("alone"), "record_id")).otherwise(node)))
+    # nothing of an address without street and house was read, so there is nothing to be equal in
+    alone = F.xxhash64(F.lit("alone"), *[F.coalesce(c, F.lit("")) for c in ("region", "district", "street", "street_kind", "modifier", "house", "corp", "flat")])
+    forms = kept(forms.withColumn("node", F.when(F.col("place").isNotNull(), node).when(F.col("street").isNull() & F.col("house").isNull(), F.xxhash64(F.lit("unread"), "record_id")).otherwise(alone)))
     distinct = forms.where("place is not null").dropDuplicates(["node"]).select("node", "place", "street", "street_kind", "modifier", "house", "corp", "flat", "digits")
     edges = _linked(distinct, "place", "street", streets).union(_linked(distinct, "street", "place", places))
     found = components(edges, "a", "b")
