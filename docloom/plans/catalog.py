@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.plans import nested_queries
+AREAS = ("nested_queries", "line_queries", "code_queries", "section_queries", "block_queries", "record_queries", "graph_queries", "box_queries", "table_queries", "glossary_queries", "file_queries")
+
+
+def _areas() -> list:
+    return [importlib.import_module(f"docloom.plans.{a}") for a in AREAS]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return dict(nested_queries.QUERIES)
+    return {n: f for a in _areas() for n, f in a.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL by query name."""
-    return {}
+    """SQL by query name, where SQL can state the operator."""
+    return {n: s for a in _areas() for n, s in a.SQL.items()}
