@@ -29,13 +29,21 @@ def running_sum(df: DataFrame, doc: str, chunk: str, order: Sequence[str], value
     return _join(df.withColumn("__in", inner), sums, doc, chunk, "__base").withColumn(out, F.col("__in") + F.col("__base")).drop("__v", "__in", "__base")
 
 
+def last_all(df: DataFrame, doc: str, chunk: str, order: Sequence[str], values: dict[str, Column], strict: bool = False) -> DataFrame:
+    """Every output of ``values``: its last value that is not null up to this row, or before it when ``strict``; one join for all."""
+    w = Window.partitionBy(doc, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+    df = df.withColumn("__at", F.struct(*order)).withColumns({f"__v_{n}": c for n, c in values.items()})
+    tails = df.groupBy(doc, chunk).agg(*[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), F.col("__at"))).alias(f"__s_{n}") for n in values])
+    chunks = Window.partitionBy(doc).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    tails = tails.withColumns({f"__b_{n}": F.last(f"__s_{n}", ignorenulls=True).over(chunks) for n in values})
+    out = df.withColumns({f"__i_{n}": F.last(f"__v_{n}", ignorenulls=True).over(w) for n in values})
+    out = _join(out, tails, doc, chunk, *[f"__b_{n}" for n in values])
+    return out.withColumns({n: F.coalesce(f"__i_{n}", f"__b_{n}") for n in values}).drop("__at", *[f"__{k}_{n}" for k in "vib" for n in values])
+
+
 def last_known(df: DataFrame, doc: str, chunk: str, order: Sequence[str], value: Column, out: str, strict: bool = False) -> DataFrame:
     """``out``: the last value that is not null up to this row, or before it when ``strict``."""
-    df = df.withColumn("__v", value).withColumn("__at", F.struct(*order))
-    inner = F.last("__v", ignorenulls=True).over(Window.partitionBy(doc, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if strict else 0))
-    sums = df.groupBy(doc, chunk).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__at"))).alias("__s"))
-    sums = sums.withColumn("__base", F.last("__s", ignorenulls=True).over(Window.partitionBy(doc).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)))
-    return _join(df.withColumn("__in", inner), sums, doc, chunk, "__base").withColumn(out, F.coalesce("__in", "__base")).drop("__v", "__at", "__in", "__base")
+    return last_all(df, doc, chunk, order, {out: value}, strict)
 
 
 def next_known(df: DataFrame, doc: str, chunk: str, order: Sequence[str], value: Column, out: str) -> DataFrame:
@@ -59,10 +67,8 @@ def nearest_lower(df: DataFrame, doc: str, chunk: str, order: Sequence[str], lev
     One running value per level, so the work does not depend on how far the
     parent lies; ``levels`` lists the levels that can be parents.
     """
-    df = df.withColumn("__p", F.struct(*order))
-    names = []
-    for k in levels:
-        df = last_known(df, doc, chunk, order, F.when(F.col(level) == k, F.struct(F.col("__p").alias("at"), value.alias("v"))), f"__l{k}", strict=True)
-        names.append(F.when(F.col(level).isNull() | (F.col(level) > k), F.col(f"__l{k}")))
+    at = F.struct(*order)
+    df = last_all(df, doc, chunk, order, {f"__l{k}": F.when(F.col(level) == k, F.struct(at.alias("at"), value.alias("v"))) for k in levels}, strict=True)
+    names = [F.when(F.col(level).isNull() | (F.col(level) > k), F.col(f"__l{k}")) for k in levels]
     best = F.greatest(*names) if len(names) > 1 else names[0]
-    return df.withColumn(out, best["v"]).drop("__p", *[f"__l{k}" for k in levels])
+    return df.withColumn(out, best["v"]).drop(*[f"__l{k}" for k in levels])

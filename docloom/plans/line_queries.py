@@ -111,9 +111,10 @@ def corrupted_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failed_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose first 60 lines hold an OCR mark or a failed picture (FLT-20)."""
+    """Whether the first 60 lines of each document hold the mark of a page read by OCR and its failure (FLT-20)."""
     heads = markdown_lines(spark, sf_dir).where("line_no < 60")
-    return heads.groupBy("result_id").agg(F.bool_or(F.col("line").contains("<!--")).alias("marked"), F.bool_or(F.col("line").contains("![")).alias("pictured")).where("marked or pictured")
+    marked, failed = F.bool_or(F.col("line").contains("<!-- Страница 1 (OCR) -->")), F.bool_or(F.col("line").contains("OCR не удался"))
+    return heads.groupBy("result_id").agg((marked & failed).alias("failed"))
 
 
 def heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +203,7 @@ SQL = {
     "glossary_line_kinds": O.sql(f"select content_id, line_no, contains(line, '...') or contains(line, '…') or (regexp_matches(line, '\\s+\\d{{1,3}}\\s*$') and length(regexp_replace(line, {O.lit(P.BLANK + '+$')}, '')) > 40) as toc, regexp_matches(line, {O.lit(P.GLOSSARY_JUNK)}) as junk, coalesce(length(doc_id) > 0 and contains(line, doc_id) and length({_T}) < 200, false) as header from page_lines", "page_lines"),
     "actionable_blocks": O.sql(f"select block_no from blocks where regexp_matches(lower(content), {O.lit(P.ACTION_WORDS)})", "blocks"),
     "corrupted_titles": O.sql(f"select content_id from (select content_id, {O.strip('coalesce(text, {})'.format(O.lit('')))} as t, substring(coalesce(text, ''), 1, 500) as h from pages where page_num = 1) where length(t) < 50 or ({_LATIN.format('h')} + {_CYR.format('h')} > 0 and {_LATIN.format('h')} > ({_LATIN.format('h')} + {_CYR.format('h')}) * 0.5)", "pages"),
-    "failed_titles": O.sql("select * from (select result_id, bool_or(contains(line, '<!--')) as marked, bool_or(contains(line, '![')) as pictured from markdown_lines where line_no < 60 group by 1) where marked or pictured", "markdown_lines"),
+    "failed_titles": O.sql("select result_id, bool_or(contains(line, '<!-- Страница 1 (OCR) -->')) and bool_or(contains(line, 'OCR не удался')) as failed from markdown_lines where line_no < 60 group by 1", "markdown_lines"),
     "heading_lines": O.sql(
         f"select content_id, line_no, case when n != '' and length(h) <= 150 then repeat('#', least(len(string_split(n, '.')), 4)) || ' ' || n || ' ' || h when n = '' and upper(t) = t and lower(t) != t and length(t) > 5 and length(t) < 80 and not regexp_matches(t, '\\d') then '# ' || t else t end as formatted, regexp_replace(replace(lower(regexp_replace(t, '^\\d+\\.?\\s*', '')), ' ', '-'), '[^\\p{{L}}\\p{{N}}_\\-]', '', 'g') as anchor from (select *, regexp_extract(t, {O.lit(_HEAD)}, 1) as n, regexp_extract(t, {O.lit(_HEAD)}, 2) as h from (select content_id, line_no, {_T} as t from page_lines))",
         "page_lines",

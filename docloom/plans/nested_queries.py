@@ -49,3 +49,4 @@ def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p6_found, p6_header, p6_resident, p6_records, p6_objects, p6_links)}
+SQL: dict[str, str] = {}
