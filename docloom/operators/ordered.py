@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 
 def _join(df: DataFrame, sums: DataFrame, doc: str, chunk: str, *names: str) -> DataFrame:
-    s = sums.select(F.col(doc).alias("__d"), F.col(chunk).alias("__c"), *names)
-    return df.join(s, df[doc].eqNullSafe(s["__d"]) & df[chunk].eqNullSafe(s["__c"]), "left").drop("__d", "__c")
+    s = sums.select(F.col(doc).alias("__ord_d"), F.col(chunk).alias("__ord_c"), *names)
+    return df.join(s, df[doc].eqNullSafe(s["__ord_d"]) & df[chunk].eqNullSafe(s["__ord_c"]), "left").drop("__ord_d", "__ord_c")
 
 
 def running_sum(df: DataFrame, doc: str, chunk: str, order: Sequence[str], value: Column, out: str) -> DataFrame:

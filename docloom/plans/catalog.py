@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-AREAS = ("nested_queries", "line_queries", "section_queries", "graph_queries")
+AREAS = ("nested_queries", "line_queries", "section_queries", "graph_queries", "block_queries", "record_queries", "box_queries", "table_queries", "glossary_queries", "file_queries")
 
 
 def _areas() -> list:
