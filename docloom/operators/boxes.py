@@ -8,8 +8,15 @@ with itself.  Folds (clusters, lines) run per page.
 from __future__ import annotations
 
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
+
+from docloom.functions.arrow import chunked
 
 
 def area(b: str) -> Column:
@@ -112,18 +119,29 @@ def cluster(boxes: list[list[float]], share: float = 0.1, near: float = 20.0) ->
     return out
 
 
+def _per_page(rows: DataFrame, columns: list[str], fold: Callable[[list[dict]], list[dict]], out: str) -> DataFrame:
+    """A fold over the rows of each page: one array per page, so many small pages share an Arrow batch."""
+    schema = to_arrow_schema(_parse_datatype_string(out))
+
+    def run(batch: pa.RecordBatch) -> dict[str, list]:
+        got = [{"doc_id": d, "page": p, **r} for d, p, x in zip(*[c.to_pylist() for c in batch.columns]) for r in fold(x)]
+        return {n: [r[n] for r in got] for n in schema.names}
+
+    return rows.groupBy("doc_id", "page").agg(F.collect_list(F.struct(*columns)).alias("x")).mapInArrow(chunked(run, schema), out)
+
+
 def clusters(rows: DataFrame, share: float = 0.1, near: float = 20.0) -> DataFrame:
     """doc_id, page, cluster, n, x0, y0, x1, y1 of the drawings of every page; a fold, so one page is one group."""
-    import pandas as pd
 
-    def fold(key, pdf):
-        pdf = pdf.sort_values(["seq", "id"], kind="stable")
-        pdf["cluster"] = cluster(pdf[["x0", "y0", "x1", "y1"]].values.tolist(), share, near)
-        g = pdf.groupby("cluster").agg(n=("id", "size"), x0=("x0", "min"), y0=("y0", "min"), x1=("x1", "max"), y1=("y1", "max")).reset_index()
-        return pd.DataFrame({"doc_id": key[0], "page": key[1], **{c: g[c] for c in ("cluster", "n", "x0", "y0", "x1", "y1")}})
+    def fold(found: list[dict]) -> list[dict]:
+        found = sorted(found, key=lambda r: (r["seq"] if r["seq"] is not None else -1, r["id"]))
+        by: dict[int, list[dict]] = {}
+        for r, c in zip(found, cluster([[r[k] for k in ("x0", "y0", "x1", "y1")] for r in found], share, near)):
+            by.setdefault(c, []).append(r)
+        return [{"cluster": c, "n": len(m), "x0": min(r["x0"] for r in m), "y0": min(r["y0"] for r in m), "x1": max(r["x1"] for r in m), "y1": max(r["y1"] for r in m)} for c, m in by.items()]
 
-    flat = rows.where("bbox is not null").select("doc_id", "page", "id", "seq", "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1")
-    return flat.groupBy("doc_id", "page").applyInPandas(fold, "doc_id string, page int, cluster int, n int, x0 double, y0 double, x1 double, y1 double")
+    flat = rows.where("bbox.x0 is not null and bbox.y0 is not null and bbox.x1 is not null and bbox.y1 is not null").select("doc_id", "page", "id", "seq", "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1")
+    return _per_page(flat, ["id", "seq", "x0", "y0", "x1", "y1"], fold, "doc_id string, page int, cluster int, n int, x0 double, y0 double, x1 double, y1 double")
 
 
 def token_lines(tokens: list[tuple], threshold: float = 18.0, gap: float | None = None) -> list[dict]:
@@ -166,14 +184,13 @@ def stacked(lines: list[dict], gap: float = 12.0, share: float = 0.6, most: floa
 
 def page_token_boxes(tokens: DataFrame, boxes: bool = True) -> DataFrame:
     """doc_id, page, n, text, x0, y0, x1, y1: token lines of every page, or the boxes they stack to."""
-    import pandas as pd
 
-    def fold(key, pdf):
-        rows = token_lines(list(pdf[["text", "x0", "y0", "x1", "y1"]].itertuples(index=False, name=None)), 14.0 if boxes else 18.0, 28.0 if boxes else None)
-        rows = stacked(rows) if boxes else rows
-        return pd.DataFrame([{"doc_id": key[0], "page": key[1], "n": n, **r} for n, r in enumerate(rows)], columns=["doc_id", "page", "n", "text", "x0", "y0", "x1", "y1"])
+    def fold(found: list[dict]) -> list[dict]:
+        rows = token_lines(sorted(tuple(r[k] for k in ("text", "x0", "y0", "x1", "y1")) for r in found), 14.0 if boxes else 18.0, 28.0 if boxes else None)
+        return [{"n": n, **r} for n, r in enumerate(stacked(rows) if boxes else rows)]
 
-    return tokens.groupBy("doc_id", "page").applyInPandas(fold, "doc_id string, page int, n int, text string, x0 double, y0 double, x1 double, y1 double")
+    whole = tokens.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null").withColumn("text", F.coalesce("text", F.lit("")))
+    return _per_page(whole, ["text", "x0", "y0", "x1", "y1"], fold, "doc_id string, page int, n int, text string, x0 double, y0 double, x1 double, y1 double")
 
 
 def valid_box(text: Column) -> Column:
