@@ -1,29 +1,35 @@
 """Texts that were decoded with a wrong character encoding.
 
-A garbled text went through a chain of (written in A, read as B) steps.  The
-chain is a latent variable of every record; its prior is shared by all records
-of one source and field.  Expectation-maximization alternates between the
-posterior of each record's chain (prior times a character model of the text
-that undoing the chain gives) and the pooled counts: chain priors per group,
-and the character model from the expected original texts.  Priors and model
-are fixed-size tables, so every iteration is one narrow pass over the records
-with a small pre-aggregated reduction.
+A garbled text went through a chain of (written in, A read as B) steps, or lost
+signs.  The chain is a latent variable of every record; its prior is shared by
+all records of one source and field.  Expectation-maximization alternates
+between the posterior of each record's chain and the pooled parameters: chain
+priors per group, and a character model of the words as the posteriors say they
+were written.
+
+Words carry the evidence, so the texts are reduced to their distinct words
+first.  Each is read under every chain once; the readings that the first model
+does not rule out are kept, a table as small as the suspicious words.  A
+reading gains by the character model and by the corpus: a garbled form is rarer
+than what it stands for, so a frequent word is no garbling of a rarer one.
+Posteriors are sums over a record's words, joined and aggregated in SQL.
 """
 
 from __future__ import annotations
 
 import math
-import re
+from array import array
 from functools import lru_cache
-from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.arrow import chunked
+from docloom.functions.shared import kept
 
-BUCKETS = 1 << 17
+#: Buckets of each of the three tables of the character model: runs of three signs, of two, and contexts.
+BUCKETS = 1 << 20
 
 # Encodings that texts are written in, and that they are wrongly read as.
 CYRILLIC = ("cp1251", "koi8-r", "cp866", "mac_cyrillic", "iso8859-5")
@@ -82,12 +88,13 @@ def readings(word: str) -> tuple[tuple[str, str], ...]:
         return ()
     out: dict[str, str] = {}
     front = [("", word)]
-    for depth in range(3):
+    # a UTF-8 step shortens the text, so the repetition ends by itself
+    while front:
         nxt = []
         for chain, text in front:
             for a, b in _STEPS:
                 got = _undo(text, (a, b))
-                if got is None or (depth and a != "utf-8" and not chain):
+                if got is None:
                     continue
                 name = f"{a}>{b}" + (f"+{chain}" if chain else "")
                 out.setdefault(name, got)
@@ -98,148 +105,155 @@ def readings(word: str) -> tuple[tuple[str, str], ...]:
 
 
 _STEPS = steps()
-_INIT_BAD = re.compile("[\x7f-\x9f�│-╿]|[a-zß-ÿа-яё][A-ZÀ-ÞА-ЯЁ]|[ÃÂÐÑÕÔ][^a-zA-ZÀ-ÖØ-ö\\s]|[РСГТ][^а-яёА-ЯЁ\\s.,»\")]|\\w[‚„“”†‡‰‹›€¢£¤¥¦§¨©ª«¬®°±²³´µ¶·¸¹º»¼½¾¿]\\w|[À-ÿ]{4}")
-LOST = re.compile(r"�|[^\W\d_]\?+[^\W\d_]|(?:^|\s)[«\"(]?\?{2,}[»\")]?(?=\s|$)|(?:^|\s)[«\"(]?\?+[^\W\d_]|\?[ -]\?")
+# Signs and runs of garbled text; texts without them teach the first model.
+INIT_BAD = "(?U)[\\x7f-\\x9f\\x{fffd}\\x{2502}-\\x{257f}]|[a-zß-ÿа-яё][A-ZÀ-ÞА-ЯЁ]|[ÃÂÐÑÕÔ][^a-zA-ZÀ-ÖØ-ö\\s]|[РСГТ][^а-яёА-ЯЁ\\s.,»\")]|\\w[‚„“”†‡‰‹›€¢£¤¥¦§¨©ª«¬®°±²³´µ¶·¸¹º»¼½¾¿]\\w|[À-ÿ]{4}"
+REPLACED = "\\x{fffd}"
+QUERIED = r"(?U)[\p{L}]\?+[\p{L}]|(?:^|\s)[«\"(]?\?{2,}[»\")]?(?=\s|$)|(?:^|\s)[«\"(]?\?+[\p{L}]|\?[ -]\?"
+LOST = "lost"
 
 
-def _grams(word: str) -> list[tuple[int, int, int]]:
-    s = f"\2{word}\3"
+def grams(word: str) -> list[tuple[int, int, int]]:
+    """Buckets of the run of three, of its context and of the run of two, for every sign and the end."""
+    codes = [1, 2, *map(ord, word), 3]
+    mask = BUCKETS - 1
     out = []
-    for i in range(1, len(s)):
-        a, b = s[i - 2 : i] if i > 1 else "\1" + s[0], s[i]
-        out.append((crc32((a + b).encode("utf-8", "surrogatepass")) % BUCKETS, crc32((a + "\0").encode("utf-8", "surrogatepass")) % BUCKETS, crc32((a[1] + b + "\4").encode("utf-8", "surrogatepass")) % BUCKETS))
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        two = (b * 8191 + c * 131071 + 17) & mask
+        out.append(((a * 92821 + b * 68917 + c * 31337 + (a ^ c) * 7 + 5) & mask, (a * 52711 + b * 28657 + 11) & mask, two))
     return out
 
 
 class Model:
-    """Character model in fixed-size hashed tables, with chain priors per group."""
+    """Character model of single words in three hashed tables of fixed size."""
 
-    def __init__(self, counts, total: float, priors: dict[str, dict[str, float]]) -> None:
-        self.counts, self.total, self.priors = counts, max(total, 1.0), priors
-        self._seen: dict[str, float] = {}
+    def __init__(self, three: array, context: array, two: array) -> None:
+        self.three, self.context, self.two = three, context, two
+        self.total = max(sum(two), 1.0)
 
+    @lru_cache(100_000)
     def score(self, word: str) -> float:
-        got = self._seen.get(word)
-        if got is None:
-            n = self.counts
-            got = 0.0
-            for tri, ctx, bi in _grams(word):
-                got += math.log(0.75 * n[tri] / (n[ctx] + 2) + 0.2 * n[bi] / self.total * 4 + 2e-6)
-            if len(self._seen) > 300_000:
-                self._seen.clear()
-            self._seen[word] = got
-        return got
-
-    def best(self, text: str, group: str, switch: float = 2.0) -> tuple[str, float, str]:
-        """(chain, posterior that the text was garbled, original) of one text."""
-        words = text.split(" ")
-        prior = self.priors.get(group, {})
-        own = [self.score(w) for w in words]
-        chains: dict[str, list] = {}
-        for k, w in enumerate(words):
-            for chain, got in readings(w):
-                gain = self.score(got) - own[k]
-                if gain > 0:
-                    chains.setdefault(chain, []).append((k, got, gain))
-        if not chains:
-            return "", 0.0, text
-        logs = {c: sum(g for _, _, g in x) - switch + math.log(prior.get(c, 1e-5)) for c, x in chains.items()}
-        clean = math.log(prior.get("", 0.9))
-        top = max(max(logs.values()), clean)
-        norm = sum(math.exp(v - top) for v in logs.values()) + math.exp(clean - top)
-        chain = max(logs, key=lambda c: (logs[c], c))
-        fixed = list(words)
-        for k, got, _ in chains[chain]:
-            fixed[k] = got
-        return chain, 1 - math.exp(clean - top) / norm, " ".join(fixed)
-
-
-_STATS = pa.schema([("kind", pa.string()), ("grp", pa.string()), ("name", pa.string()), ("bucket", pa.int32()), ("weight", pa.float64())])
-
-
-def _expect(shared):
-    """E-step of one task: expected chain counts and character counts, aggregated before they leave it."""
-
-    def run(batches):
-        from collections import defaultdict
-
-        model: Model | None = shared.value if shared is not None else None
-        chains: dict[tuple[str, str], float] = defaultdict(float)
-        grams: dict[int, float] = defaultdict(float)
-        for batch in batches:
-            for group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if model is None:
-                    if _INIT_BAD.search(text):
-                        continue
-                    chain, weight, original = "", 1.0, text
-                else:
-                    chain, p, original = model.best(text, group)
-                    chains[group, ""] += 1 - p
-                    if chain:
-                        chains[group, chain] += p
-                    weight = max(p, 1 - p)
-                    if p < 0.5:
-                        original = text
-                for w in original.split(" "):
-                    for tri, ctx, bi in _grams(w):
-                        grams[tri] += weight
-                        grams[ctx] += weight
-                        grams[bi] += weight
-        rows = [("chain", g, c, -1, w) for (g, c), w in chains.items()] + [("gram", None, None, b, w) for b, w in grams.items()]
-        for at in range(0, len(rows), 10_000):
-            yield pa.RecordBatch.from_pydict(dict(zip(_STATS.names, map(list, zip(*rows[at : at + 10_000])))), schema=_STATS)
+        """Log probability of a word."""
+        t, c, b, n = self.three, self.context, self.two, self.total
+        return sum(math.log(0.8 * t[x] / (c[y] + 4) + 0.15 * b[z] / n + 1e-6) for x, y, z in grams(word))
 
-    return run
 
+_GRAMS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("weight", pa.float64())])
 
-def fit(records: DataFrame, rounds: int = 3) -> Model:
-    """Chain priors per group and the character model, by EM over all records (columns grp, text)."""
-    import numpy as np
 
-    spark = records.sparkContext if hasattr(records, "sparkContext") else records.sparkSession.sparkContext
-    model = None
-    for _ in range(rounds):
-        shared = spark.broadcast(model) if model is not None else None
-        stats = records.mapInArrow(_expect(shared), "kind string, grp string, name string, bucket int, weight double").groupBy("kind", "grp", "name", "bucket").agg(F.sum("weight").alias("weight"))
-        # at most BUCKETS gram rows and groups x chains prior rows reach the driver
-        table = stats.toArrow()
-        counts = np.zeros(BUCKETS)
-        raw: dict[str, dict[str, float]] = {}
-        for kind, grp, name, bucket, weight in zip(*[table.column(c).to_pylist() for c in ("kind", "grp", "name", "bucket", "weight")]):
-            if kind == "gram":
-                counts[bucket] = weight
-            else:
-                raw.setdefault(grp, {})[name] = weight
-        priors = {g: {c: (w + 0.01) / (sum(x.values()) + 1) for c, w in x.items()} for g, x in raw.items()}
-        model = Model(counts.tolist(), float(counts.sum()) / 3, priors)
-    return model
+def _count(batches):
+    tables: list[dict[int, float]] = [{}, {}, {}]
+    for batch in batches:
+        for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for found in grams(word):
+                for t, x in zip(tables, found):
+                    t[x] = t.get(x, 0.0) + n
+    for kind, t in enumerate(tables):
+        rows = list(t.items())
+        for at in range(0, len(rows), 10_000):
+            part = rows[at : at + 10_000]
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(part), "bucket": [x for x, _ in part], "weight": [w for _, w in part]}, schema=_GRAMS)
 
 
-_OUT = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("chain", pa.string()), ("lost", pa.bool_()), ("posterior", pa.float64()), ("original", pa.string())])
+def model(weights: DataFrame) -> Model:
+    """The model of (word, weight); at most three times BUCKETS rows reach the driver."""
+    got = weights.where("weight > 0").mapInArrow(_count, "kind int, bucket int, weight double").groupBy("kind", "bucket").agg(F.sum("weight").alias("weight")).toArrow()
+    tables = [array("f", bytes(4 * BUCKETS)) for _ in range(3)]
+    for kind, bucket, weight in zip(*[got.column(c).to_pylist() for c in ("kind", "bucket", "weight")]):
+        tables[kind][bucket] = weight
+    return Model(*tables)
 
 
-def repaired(records: DataFrame, rounds: int = 3, least: float = 0.5) -> DataFrame:
-    """Garbled records of (src, rec_id, grp, text): chain, posterior, whether signs were lost, and the original text.
+_READ = pa.schema([("word", pa.string()), ("chain", pa.string()), ("restored", pa.string()), ("gain", pa.float64())])
 
-    ``grp`` names source and field, the unit that pools chain evidence.  A
-    record counts as garbled when the posterior of all chains together reaches
-    ``least`` or signs were replaced (U+FFFD, question marks inside words); with
-    lost signs ``original`` is null.  Null, blank and ASCII texts without lost
-    signs give no row; ties between chains go to the later name; repeated rows
-    give repeated results; an empty table gives no row.
-    """
-    texts = records.where("text is not null and trim(text) != ''").select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "grp", "text")
-    shared = records.sparkSession.sparkContext.broadcast(fit(texts.select("grp", "text"), rounds))
+
+def _readings(words: DataFrame, shared, least: float) -> DataFrame:
+    """word, chain, restored, gain of the readings that gain at least ``least``."""
 
     def one(batch: pa.RecordBatch) -> dict[str, list]:
-        model = shared.value
-        out = {n: [] for n in _OUT.names}
-        for src, rec, grp, text in zip(*[c.to_pylist() for c in batch.columns]):
-            lost = bool(LOST.search(text))
-            chain, p, original = model.best(text, grp)
-            if p >= least or lost:
-                for n, v in zip(_OUT.names, (src, rec, chain if p >= least else "", lost, max(p, float(lost)), None if lost else original)):
-                    out[n].append(v)
+        m, out = shared.value, {n: [] for n in _READ.names}
+        for word in batch.column(0).to_pylist():
+            own = m.score(word)
+            for chain, got in readings(word):
+                gain = m.score(got) - own
+                if gain > least:
+                    for n, v in zip(_READ.names, (word, chain, got, gain)):
+                        out[n].append(v)
         return out
 
-    return texts.mapInArrow(chunked(one, _OUT), "src string, rec_id bigint, chain string, lost boolean, posterior double, original string")
+    return words.select("word").mapInArrow(chunked(one, _READ), "word string, chain string, restored string, gain double")
+
+
+def _rescored(found: DataFrame, shared) -> DataFrame:
+    def one(batch: pa.RecordBatch) -> dict[str, list]:
+        m = shared.value
+        w, c, r = (batch.column(k).to_pylist() for k in range(3))
+        return {"word": w, "chain": c, "restored": r, "gain": [m.score(y) - m.score(x) for x, y in zip(w, r)]}
+
+    return found.select("word", "chain", "restored").mapInArrow(chunked(one, _READ), "word string, chain string, restored string, gain double")
+
+
+def _lost(text: Column) -> Column:
+    """Evidence of lost signs, in log odds; null without any."""
+    return F.when(text.rlike(REPLACED), 14.0).when(text.rlike(QUERIED), 9.0)
+
+
+def repaired(records: DataFrame, rounds: int = 3, least: float = 0.5, switch: float = 2.0) -> DataFrame:
+    """Garbled records of (src, rec_id, grp, text): chain, posterior, whether signs were lost, and the original text.
+
+    ``grp`` names source and field, the unit that pools chain evidence.  A
+    record counts as garbled when the posterior of all chains together, lost
+    signs among them, reaches ``least``; where signs were lost ``original`` is
+    null.  Null, blank and ASCII texts without lost signs give no row; ties
+    between chains go to the earlier name; repeated rows count once; an empty
+    table gives no row.
+    """
+    spark = records.sparkSession
+    texts = kept(records.where("text is not null and trim(text) != ''").select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "grp", "text").distinct())
+    tokens = texts.select("src", "rec_id", "grp", F.col("text").rlike(INIT_BAD).alias("bad"), F.posexplode(F.split("text", " ")).alias("pos", "word")).where("word != ''")
+    words = kept(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("bad")).alias("n_clean")))
+    own = words.select(F.col("word").alias("restored"), F.col("n_clean").alias("n_restored"))
+    seen = words.select("word", "n")
+    first = model(words.select("word", F.col("n_clean").cast("double").alias("weight")))
+    shared = spark.sparkContext.broadcast(first)
+    found = kept(_readings(words.where(F.col("word").rlike(r"[^\x00-\x7f]")), shared, -2.0))
+    groups = texts.groupBy("grp").agg(F.count(F.lit(1)).alias("total"))
+    priors = None
+    gains = found
+    for n in range(rounds):
+        # a reading is also judged by how often either form occurs
+        frequency = F.greatest(F.lit(-8.0), F.least(F.lit(3.0), F.log((F.coalesce("n_restored", F.lit(0)) + 1) / (F.col("n") + 1))))
+        # one reading per word and chain; only those that pay stay, so words written right drop out here
+        judged = kept(gains.join(seen, "word").join(own, "restored", "left").withColumn("gain", F.col("gain") + frequency).where("gain > 0").select("word", "chain", "restored", "gain"))
+        hits = tokens.join(judged, "word").select("src", "rec_id", "grp", "pos", "word", "chain", "restored", "gain")
+        sums = hits.groupBy("src", "rec_id", "grp", "chain").agg((F.sum("gain") - switch).alias("evidence"))
+        lost = texts.select("src", "rec_id", "grp", F.lit(LOST).alias("chain"), (_lost(F.col("text")) - switch).alias("evidence")).where("evidence is not null")
+        sums = sums.unionByName(lost)
+        if priors is None:
+            weighted = sums.withColumn("log", F.col("evidence") + math.log(0.1 / len(_STEPS))).withColumn("clean", F.lit(math.log(0.9)))
+        else:
+            clean = priors.where("chain = ''").select("grp", F.log("prior").alias("clean"))
+            weighted = sums.join(F.broadcast(priors), ["grp", "chain"], "left").join(F.broadcast(clean), "grp", "left")
+            weighted = weighted.withColumns({"log": F.col("evidence") + F.log(F.coalesce("prior", F.lit(1e-5))), "clean": F.coalesce("clean", F.lit(math.log(0.9)))})
+        # log-sum-exp per record, in two aggregates without a window
+        top = weighted.groupBy("src", "rec_id").agg(F.greatest(F.max("log"), F.first("clean")).alias("top"))
+        each = weighted.join(top, ["src", "rec_id"]).withColumn("e", F.exp(F.col("log") - F.col("top")))
+        norm = each.groupBy("src", "rec_id").agg((F.sum("e") + F.exp(F.first("clean") - F.first("top"))).alias("norm"))
+        posterior = kept(each.join(norm, ["src", "rec_id"]).select("src", "rec_id", "grp", "chain", (F.col("e") / F.col("norm")).alias("p")))
+        if n == rounds - 1:
+            break
+        # M-step: priors of each group; at most groups x chains rows
+        chains = posterior.groupBy("grp", "chain").agg(F.sum("p").alias("w")).join(groups, "grp").select("grp", "chain", ((F.col("w") + 0.01) / (F.col("total") + 1)).alias("prior"))
+        rest = posterior.groupBy("grp").agg(F.sum("p").alias("w")).join(groups, "grp").select("grp", F.lit("").alias("chain"), ((F.col("total") - F.col("w") + 1) / (F.col("total") + 2)).alias("prior"))
+        priors = kept(chains.unionByName(rest))
+        # M-step: words lose the weight of being garbled, what they stand for gains it, each by its own posterior
+        moved = hits.join(posterior.drop("grp"), ["src", "rec_id", "chain"])
+        away = moved.groupBy("word").agg(F.sum("p").alias("w"))
+        to = moved.groupBy(F.col("restored").alias("word")).agg(F.sum("p").alias("w"))
+        base = words.join(away, "word", "left").select("word", F.greatest(F.col("n") - F.coalesce("w", F.lit(0.0)), F.lit(0.0)).alias("weight"))
+        shared = spark.sparkContext.broadcast(model(base.unionByName(to.select("word", F.col("w").alias("weight")))))
+        gains = _rescored(found, shared)
+    best = posterior.groupBy("src", "rec_id").agg(F.sum("p").alias("posterior"), F.min_by("chain", F.struct(-F.col("p"), "chain")).alias("chain")).where(F.col("posterior") >= least)
+    parts = hits.join(best.select("src", "rec_id", "chain"), ["src", "rec_id", "chain"]).groupBy("src", "rec_id").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("pos", "restored")))).alias("parts"))
+    out = texts.join(best, ["src", "rec_id"]).join(parts, ["src", "rec_id"], "left").withColumn("lost", _lost(F.col("text")).isNotNull())
+    fixed = F.array_join(F.transform(F.split("text", " "), lambda w, i: F.coalesce(F.try_element_at("parts", i), w)), " ")
+    return out.select("src", "rec_id", F.when(F.col("chain") == LOST, "").otherwise(F.col("chain")).alias("chain"), "lost", "posterior", F.when(~F.col("lost"), fixed).alias("original"))
