@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating star contraction."""
+"""Connected components of an edge table, by label propagation and contraction."""
 
 from __future__ import annotations
 
@@ -8,29 +8,32 @@ from pyspark.sql import functions as F
 from docloom.functions.shared import kept
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 2, most_depth: int = 40) -> DataFrame:
     """node, component (its smallest node) of every node that an edge names.
 
-    Large-star and small-star steps alternate until the edge set is stable;
-    every step hangs neighbours on the smallest one, so the minimum per node is
-    a map-side combined aggregate and no neighbourhood is ever collected.  Each
-    round is written to the shared checkpoint folder.  Null ends and loops are
-    ignored; an empty table gives an empty result.
+    Every node takes the smallest label around it, ``rounds`` times; then equal
+    labels are contracted to one node and what edges are left is solved the same
+    way, so that a chain of any length needs few steps.  Labels are minima, a
+    map-side combined aggregate: no neighbourhood is ever collected, and a hub
+    costs one row per task.  Each step is written to the shared checkpoint
+    folder.  Null ends and loops are ignored; an empty table gives an empty
+    result.
     """
-    e = kept(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
-    for _ in range(most_rounds):
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u != v").distinct()
-        e = kept(small)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if now == before:
-            break
-        before = now
-    else:
+    pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v")
+    return _solved(kept(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), rounds, most_depth)
+
+
+def _solved(e: DataFrame, rounds: int, depth: int) -> DataFrame:
+    if depth == 0:
         raise RuntimeError("components did not settle")
-    leaves = e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return leaves.union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct().join(leaves.select("node"), "node", "left_anti"))
+    both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    labels = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")))
+    for _ in range(rounds):
+        around = both.join(labels.select(F.col("u").alias("v"), "l"), "v").select("u", "l").union(labels)
+        labels = kept(around.groupBy("u").agg(F.min("l").alias("l")))
+    at = lambda c, l: labels.select(F.col("u").alias(c), F.col("l").alias(l))
+    rest = kept(e.join(at("u", "lu"), "u").join(at("v", "lv"), "v").where("lu != lv").select(F.greatest("lu", "lv").alias("u"), F.least("lu", "lv").alias("v")).distinct())
+    if rest.isEmpty():
+        return labels.select(F.col("u").alias("node"), F.col("l").alias("component"))
+    up = _solved(rest, rounds, depth - 1)
+    return labels.join(up.select(F.col("node").alias("l"), "component"), "l", "left").select(F.col("u").alias("node"), F.coalesce("component", "l").alias("component"))
