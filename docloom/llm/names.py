@@ -140,6 +140,8 @@ _GIVEN, _FATHERS = _readings()
 _FORM_WORDS = frozenset(reading(w) for w in FORMS.split())
 _NOISE = re.compile(r"\([^)]*\)?|\bд\.\s*у\.?|\bв лице директора\b|\bd\.\s*u\.?(?!\w)", re.I)
 _TOKEN = re.compile(r"[а-я]+|\d+")
+# Endings of patronymics in the reading alphabet.
+_PATRONYMIC = re.compile(r"(?<=..)(?:ович|евич|овна|евна|инична|улы|кызы)$")
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -239,6 +241,14 @@ def read_name(name: str) -> dict[str, str | None] | None:
             elif inits:
                 out["father_initial"] = inits.pop(0)
             return out
+        marked = [k for k, w in enumerate(long) if _PATRONYMIC.search(w)]
+        if best is None and len(long) == 3 and not initials and len(marked) == 1 and marked[0] > 0:
+            # names that no list has: the word before the patronymic is the given name
+            k = marked[0]
+            out["kind"], out["head"], out["given"] = "P", next(w for n, w in enumerate(long) if n not in (k - 1, k)), long[k - 1]
+            out["father"], out["sex"] = _PATRONYMIC.sub("", long[k]), "f" if long[k].endswith(("на", "кызы")) else "m"
+            out["given_initial"], out["father_initial"] = out["given"][0], out["father"][0]
+            return out
     out["kind"] = "O"
     out["number"] = "".join(w for w in rest if w.isdigit()) or ""
     letters = [w for w in rest if not w.isdigit()]
@@ -261,27 +271,39 @@ def _read(batch: pa.RecordBatch) -> dict[str, list]:
     return out
 
 
-def radius_pairs(objects: DataFrame, radius: int = 2, per_cell: int = 256) -> DataFrame:
-    """group, word_1 < word_2, d: all pairs of one group within an edit distance.
+def cells(objects: DataFrame, radius: int = 2, size: int = 64) -> DataFrame:
+    """grp, pivot, word, far, at_home: the cells of the metric space of every group that each word lies in.
 
-    ``objects`` has distinct (grp, word).  The group is the discrete part of
-    the metric.  About one word in ``per_cell`` is a pivot (by its hash, and the
-    least word of each group); a word's home is the cell of its nearest pivot,
-    and it is replicated to every pivot no further than its home distance plus
-    twice the radius: two words within the radius then meet in the home cell of
-    the first.  Inside a cell home words are compared with all words by the
-    edit distance itself, so no pair is lost and none is approximate.  A group
-    holding a third of all words has as many more cells.
+    A group of n words has about sqrt(n) * 16 / ``size`` pivots, chosen by hash,
+    and its least word; so distances to pivots stay below n * sqrt(n).  A word's
+    home is the cell of its nearest pivot; it is replicated to every pivot no
+    further than its home distance plus twice the radius, the bound that the
+    triangle inequality gives: two words within the radius meet in the home
+    cell of either.
     """
-    objects = objects.select("grp", "word")
-    pivots = objects.where(F.pmod(F.xxhash64("word"), F.lit(per_cell)) == 0).union(objects.groupBy("grp").agg(F.min("word").alias("word"))).distinct().select("grp", F.col("word").alias("pivot"))
+    objects = objects.select("grp", "word").distinct()
+    sizes = objects.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("word").alias("least"))
+    every = F.greatest(F.lit(1), (F.sqrt("n") * size / 16).cast("bigint"))
+    ranked = objects.join(sizes, "grp")
+    pivots = ranked.where((F.col("word") == F.col("least")) | ((F.col("n") > size) & (F.pmod(F.xxhash64("word"), every) == 0))).select("grp", F.col("word").alias("pivot"))
     reach = objects.join(pivots, "grp").withColumn("far", F.levenshtein("word", "pivot"))
     home = reach.groupBy("grp", "word").agg(F.min(F.struct("far", "pivot")).alias("h"))
-    cells = reach.join(home, ["grp", "word"]).where(F.col("far") <= F.col("h.far") + 2 * radius).select("grp", "pivot", "word", (F.col("pivot") == F.col("h.pivot")).alias("at_home"))
-    cells = kept(cells)
-    a = cells.where("at_home").select("grp", "pivot", F.col("word").alias("word_1"))
-    b = cells.select("grp", "pivot", F.col("word").alias("word_2"))
-    near = a.join(b, ["grp", "pivot"]).where((F.col("word_1") != F.col("word_2")) & (F.abs(F.length("word_1") - F.length("word_2")) <= radius))
+    return reach.join(home, ["grp", "word"]).where(F.col("far") <= F.col("h.far") + 2 * radius).select("grp", "pivot", "word", "far", (F.col("pivot") == F.col("h.pivot")).alias("at_home"))
+
+
+def radius_pairs(objects: DataFrame, radius: int = 2) -> DataFrame:
+    """grp, word_1 < word_2, d: all pairs of one group within an edit distance.
+
+    ``objects`` has (grp, word); the group is the discrete part of the metric.
+    In a cell home words meet all words whose distance to the pivot, and whose
+    length, differs by the radius at most (the triangle inequality again, with
+    the pivot and with the empty word); what is left is compared by the edit
+    distance itself, so no pair is lost and none is approximate.
+    """
+    found = kept(cells(objects, radius))
+    a = found.where("at_home").select("grp", "pivot", F.col("word").alias("word_1"), F.col("far").alias("far_1"))
+    b = found.select("grp", "pivot", F.col("word").alias("word_2"), F.col("far").alias("far_2"))
+    near = a.join(b, ["grp", "pivot"]).where((F.col("word_1") != F.col("word_2")) & (F.abs(F.col("far_1") - F.col("far_2")) <= radius) & (F.abs(F.length("word_1") - F.length("word_2")) <= radius))
     near = near.withColumn("d", F.levenshtein("word_1", "word_2", radius)).where("d >= 0")
     return near.select("grp", F.least("word_1", "word_2").alias("word_1"), F.greatest("word_1", "word_2").alias("word_2"), "d").distinct()
 
@@ -350,42 +372,52 @@ def owners(records: DataFrame, id_col: str = "record_id", name_col: str = "full_
 
     firms = orgs.select("record_id", "head", "tail", "number").mapInArrow(chunked(cut, _ORG), "record_id bigint, grp string, word string")
     whole = people.where("given is not null and father is not null").select("record_id", F.concat_ws("|", F.lit("P"), "given", "father", "sex").alias("grp"), F.col("head").alias("word"))
-    full = kept(_clusters(whole.union(firms), radius, _same_word(7, False)))
+    members = kept(whole.union(firms))
+    sur = kept(people.select("record_id", F.col("head").alias("word"), "given", "given_initial", "father", "father_initial"))
+    first = sur.where("given is not null and father is null and father_initial is not null")
+    only = sur.where("given is not null and father_initial is null")
+    initials = sur.where("given is null")
+    b_group, c_group = F.concat_ws("|", F.lit("B"), "given", "father_initial"), F.concat_ws("|", F.lit("C"), "given")
+    d_group = lambda i: F.concat_ws("|", F.lit("D"), "given_initial", i)
+    short_b = first.select("record_id", b_group.alias("grp"), "word")
+    short_c = only.select("record_id", c_group.alias("grp"), "word").union(initials.select("record_id", d_group(F.coalesce("father_initial", F.lit("?"))).alias("grp"), "word"))
+    # one radius join serves all steps: the forms themselves, and the fuller forms that abbreviated ones can stand for
+    full_forms, b_forms = sur.where("given is not null and father is not null"), first
+    targets = full_forms.select(b_group.alias("grp"), "word")
+    for forms in (full_forms, b_forms):
+        for g in (c_group, d_group(F.col("father_initial")), d_group(F.lit("?"))):
+            targets = targets.union(forms.select(g.alias("grp"), "word"))
+    shorts = short_b.select("grp", "word").union(short_c.select("grp", "word")).distinct()
+    wanted = targets.distinct().join(shorts.select("grp").distinct(), "grp", "left_semi")
+    near = kept(radius_pairs(members.select("grp", "word").union(shorts).union(wanted), radius))
+    full = kept(_clusters(members, near))
     # abbreviated persons, the fuller forms first
-    sur = people.select("record_id", F.col("head").alias("word"), "given", "given_initial", "father", "father_initial")
     parts = ("owner", "word", "given", "given_initial", "father_initial")
     known = full.join(sur.select("record_id", "given", "given_initial", "father_initial"), "record_id").groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
-    first = sur.where("given is not null and father is null and father_initial is not null")
-    found_b = _joined(first.select("record_id", F.concat_ws("|", F.lit("B"), "given", "father_initial").alias("grp"), "word"), known.select("owner", F.concat_ws("|", F.lit("B"), "given", "father_initial").alias("grp"), "word", "n"))
+    found_b = _joined(short_b, known.select("owner", b_group.alias("grp"), "word", "n"), near)
     more = found_b.where("new").join(first.select("record_id", "given", "given_initial", "father_initial"), "record_id").groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
     known = kept(known.union(more))
-    only = sur.where("given is not null and father_initial is null")
-    initials = sur.where("given is null")
-    short = only.select("record_id", F.concat_ws("|", F.lit("C"), "given").alias("grp"), "word").union(initials.select("record_id", F.concat_ws("|", F.lit("D"), "given_initial", F.coalesce("father_initial", F.lit("?"))).alias("grp"), "word"))
-    targets = known.select("owner", F.concat_ws("|", F.lit("C"), "given").alias("grp"), "word", "n")
+    hits = known.select("owner", c_group.alias("grp"), "word", "n")
     for initial in (F.col("father_initial"), F.lit("?")):
-        targets = targets.union(known.select("owner", F.concat_ws("|", F.lit("D"), "given_initial", initial).alias("grp"), "word", "n"))
-    found_c = _joined(short, targets)
+        hits = hits.union(known.select("owner", d_group(initial).alias("grp"), "word", "n"))
+    found_c = _joined(short_c, hits, near)
     return full.select("record_id", "owner").union(found_b.select("record_id", "owner")).union(found_c.select("record_id", "owner"))
 
 
 _ORG = pa.schema([("record_id", pa.int64()), ("grp", pa.string()), ("word", pa.string())])
 
 
-def _clusters(members: DataFrame, radius: int, same: str) -> DataFrame:
+def _clusters(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """record_id, word, owner: members of one group whose words are typos of each other."""
-    members = kept(members)
-    words = members.groupBy("grp", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = members.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    near = radius_pairs(words, radius).where(same)
+    counts = kept(members.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    near = pairs.where("grp like 'P|%' or grp like 'O|%'").where(_same_word(7, False))
     near = near.join(counts.select(F.col("word").alias("word_1"), F.col("n").alias("n_1")), "word_1").join(counts.select(F.col("word").alias("word_2"), F.col("n").alias("n_2")), "word_2").where(_RARE)
-    edges = near.select(F.xxhash64("grp", "word_1").alias("a"), F.xxhash64("grp", "word_2").alias("b"))
-    found = components(edges)
-    node = members.withColumn("node", F.xxhash64("grp", "word"))
-    return node.join(found, "node", "left").select("record_id", "word", F.coalesce("component", "node").alias("owner"))
+    edges = near.select(F.concat_ws("/", "grp", "word_1").alias("a"), F.concat_ws("/", "grp", "word_2").alias("b"))
+    node = members.withColumn("node", F.concat_ws("/", "grp", "word"))
+    return node.join(components(edges), "node", "left").select("record_id", "word", F.coalesce("component", "node").alias("owner"))
 
 
-def _joined(short: DataFrame, known: DataFrame) -> DataFrame:
+def _joined(short: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
     """record_id, word, owner, new: abbreviated names with the one owner that they fit best.
 
     Several owners fit equally well at times; one that holds most of their
@@ -393,23 +425,24 @@ def _joined(short: DataFrame, known: DataFrame) -> DataFrame:
     """
     short = kept(short)
     known = kept(known.groupBy("owner", "grp", "word").agg(F.sum("n").alias("n")))
-    objects = short.select("grp", "word").union(known.join(short.select("grp").distinct(), "grp", "left_semi").select("grp", "word")).distinct()
-    near = radius_pairs(objects, 2).where(_same_word(8))
+    forms = kept(short.select("grp", "word").distinct())
+    near = pairs.join(forms.select("grp").distinct(), "grp", "left_semi").where(_same_word(8))
     cost = F.when(F.expr("d = 2 and sort_array(split(word_1, '')) = sort_array(split(word_2, ''))"), 1).otherwise(F.col("d"))
     near = near.withColumn("d", cost)
-    ways = near.select("grp", F.col("word_1").alias("word"), F.col("word_2").alias("other"), "d").union(near.select("grp", F.col("word_2").alias("word"), F.col("word_1").alias("other"), "d")).union(objects.select("grp", "word", F.col("word").alias("other"), F.lit(0).alias("d")))
-    ways = ways.join(short.select("grp", "word").distinct(), ["grp", "word"], "left_semi")
+    ways = near.select("grp", F.col("word_1").alias("word"), F.col("word_2").alias("other"), "d").union(near.select("grp", F.col("word_2").alias("word"), F.col("word_1").alias("other"), "d")).union(forms.select("grp", "word", F.col("word").alias("other"), F.lit(0).alias("d")))
+    ways = kept(ways.join(forms, ["grp", "word"], "left_semi"))
     fits = ways.join(known.select("grp", F.col("word").alias("other"), F.col("owner").alias("hit"), "n"), ["grp", "other"])
     least = fits.groupBy("grp", "word").agg(F.min("d").alias("least"))
     each = fits.join(least, ["grp", "word"]).where("d = least").groupBy("grp", "word", "hit").agg(F.sum("n").alias("n"))
-    best = each.groupBy("grp", "word").agg(F.max(F.struct("n", "hit")).alias("top"), F.sum("n").alias("all")).select("grp", "word", F.col("top.hit").alias("hit"), (F.col("top.n") >= F.col("all") * _MOST).alias("sure"))
+    best = each.groupBy("grp", "word").agg(F.max(F.struct("n", "hit")).alias("top"), F.sum("n").alias("all"))
+    best = kept(best.select("grp", "word", F.col("top.hit").alias("hit"), (F.col("top.n") >= F.col("all") * _MOST).alias("sure")))
     # without a full name, abbreviated names join their equals and all that near ones link them to
-    alone = short.select("grp", "word").distinct().join(best, ["grp", "word"], "left_anti")
+    alone = forms.join(best, ["grp", "word"], "left_anti")
     alone = kept(alone)
     near = ways.where("d <= 1 and word != other").join(alone, ["grp", "word"], "left_semi").join(alone.withColumnRenamed("word", "other"), ["grp", "other"], "left_semi")
-    linked = components(near.select(F.xxhash64("grp", "word").alias("a"), F.xxhash64("grp", "other").alias("b")))
-    own = alone.withColumn("own", F.xxhash64("grp", "word"))
+    linked = components(near.select(F.concat_ws("/", "grp", "word").alias("a"), F.concat_ws("/", "grp", "other").alias("b")))
+    own = alone.withColumn("own", F.concat_ws("/", "grp", "word"))
     rest = own.join(linked, own["own"] == linked["node"], "left").select("grp", "word", F.coalesce("component", "own").alias("node"))
     node = short.join(best, ["grp", "word"], "left").join(rest, ["grp", "word"], "left")
-    owner = F.when(F.col("hit").isNull(), F.col("node")).when(F.col("sure"), F.col("hit")).otherwise(F.xxhash64(F.lit("alone"), "record_id"))
+    owner = F.when(F.col("hit").isNull(), F.col("node")).when(F.col("sure"), F.col("hit")).otherwise(F.concat_ws("/", F.lit("alone"), "record_id"))
     return kept(node.select("record_id", "word", owner.alias("owner"), F.col("hit").isNull().alias("new")))
