@@ -1,12 +1,14 @@
 """Passages of held-out items inside a corpus.
 
-An index of the short runs of the normalised items is built once and sent to
-the executors; every document looks its own runs up in it.  Items that share as
-many runs with the document as any acceptable alignment has at least are
-aligned with it exactly: matching runs on one diagonal are
-joined over a few exchanged words, runs of the required length or over a whole
-sentence of the item count, and an item leaked when they cover the required
-share of it.
+A generalised suffix automaton of the normalised items is built once and sent
+to the executors.  Every document streams through it, which gives the longest
+match that ends at each token; where it is three tokens or longer, the state's
+shortest suffix of three names all items and places that hold it.  Items whose
+places could add up to the required share are aligned with the document
+exactly: matching runs on one diagonal are joined over a few exchanged words,
+runs of the required length or over a whole sentence of the item count, and an
+item leaked when they cover its share.  The spans that count are given with
+their places, and can be removed from the text.
 """
 
 from __future__ import annotations
@@ -20,28 +22,39 @@ from pyspark.sql import DataFrame, SparkSession
 from docloom.functions.arrow import chunked
 from docloom.llm.sentences import units
 
-# Letters and figures that scans confuse, each with the sign it is compared as.
-_ALIKE = str.maketrans(
-    dict(zip("ё0зчбвтнкрсухаеомиüпlґ", "еoэ4b6mhkpcyxaeomunnіг".replace("э", "3").replace("п", "n"))) | {"й": "u", "и": "u", "п": "n", "ц": "u", "н": "h", "o": "o", "l": "1", "i": "1", "і": "1", "|": "1", "б": "6", "b": "6", "в": "b", "ь": "b", "ъ": "b", "с": "c", "е": "c", "e": "c", "ш": "w", "щ": "w", "q": "g", "д": "л"}
-)
-_TOKENS = re.compile(r"[一-鿿]|[^\W_一-鿿]+")
-_HAN = re.compile("[一-鿿]")
+# Pairs of signs that scans confuse or that are written for each other.
+CONFUSABLE = "ёе еe ес сc оo о0 аa рp уy хx кk тm мm нh пn иu ий иц з3 ч4 б6 бb вb ьb ъb l1 i1 і1 |1 шщ шw qg дл ґг үy ұy"
+
+
+def _classes(pairs: str) -> dict[int, str]:
+    """Sign -> the least sign that chains of pairs lead to."""
+    up: dict[str, str] = {}
 
+    def top(x: str) -> str:
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
 
-# An alignment that counts has a run of three (or two and two around an exchanged word) for every sixth of its tokens at least:
-# a stretch of L >= 10 with m <= L // 9 + 1 exchanged words in runs of two and more has L - 3 m - 2 >= L / 5 of them, a sentence
-# with at most one exchanged word L / 6 (2 + 1 + 3 tokens).  Alignments that overlap on the item can share a run at most twice.
-_SEED_SHARE = 12
+    for a, b in pairs.split():
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    return {ord(x): top(x) for x in list(up)}
 
 
-def _threes(seq: list[int]) -> list[int]:
-    """Keys of the runs of three known tokens."""
-    return [a << 42 | b << 21 | c for a, b, c in zip(seq, seq[1:], seq[2:]) if a and b and c]
+_ALIKE = _classes(CONFUSABLE)
+_TOKENS = re.compile(r"[一-鿿]|[^\W_一-鿿]+")
+_HAN = re.compile("[一-鿿]")
+
+
+def _lower(text: str) -> str:
+    """Lower case of the same length, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def tokens(text: str) -> list[str]:
     """Words in lower case, Han signs one by one."""
-    return _TOKENS.findall(text.lower())
+    return _TOKENS.findall(_lower(text))
 
 
 class _Keys(dict):
@@ -59,7 +72,7 @@ class _Keys(dict):
 
 
 class Index:
-    """Token numbers of the items and where their short runs occur."""
+    """Generalised suffix automaton over token numbers of the items, and the places of its runs of three."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.classes: dict[str, int] = {}
@@ -69,9 +82,10 @@ class Index:
         self.han: list[bool] = []
         self.figures: set[int] = set()
         for _, text in items:
-            seq = [self.classes.setdefault(t.translate(_ALIKE), len(self.classes) + 1) for t in tokens(text)]
+            found = tokens(text)
+            seq = [self.classes.setdefault(t.translate(_ALIKE), len(self.classes) + 1) for t in found]
             self.words.append(seq)
-            self.figures.update(k for k, t in zip(seq, tokens(text)) if any(c.isdigit() for c in t))
+            self.figures.update(k for k, t in zip(seq, found) if any(c.isdigit() for c in t))
             self.han.append(len(_HAN.findall(text)) * 2 > len(seq))
             spans, at = [], 0
             for a, b in units(text):
@@ -79,31 +93,138 @@ class Index:
                 spans.append((at, at + n))
                 at += n
             self.sentences.append(spans)
-        # short runs -> (item, number of its places) of all items that hold them
-        threes: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        split: dict[tuple, dict[int, int]] = defaultdict(lambda: defaultdict(int))
+        self.next: list[dict[int, int]] = [{}]
+        self.link = [-1]
+        self.length = [0]
+        ends: list[list[int]] = []
+        for seq in self.words:
+            last = 0
+            ends.append([last := self._extend(last, c) for c in seq])
+        # the state of the last three tokens of every state: up the suffix links while they still hold three
+        self.three = [-1] * len(self.length)
+        for s in sorted(range(1, len(self.length)), key=lambda s: self.length[s]):
+            if self.length[s] >= 3:
+                self.three[s] = s if self.length[self.link[s]] < 3 else self.three[self.link[s]]
+        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for n, seq in enumerate(self.words):
+            state = 0
+            for at, c in enumerate(seq):
+                state = self.next[state][c]
+                if at >= 2:
+                    self.places[self.three[state]].append((n, at - 2))
+        # two and two tokens around an exchanged one, for sentences too short to hold three in a row
+        self.split: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         for n, seq in enumerate(self.words):
-            for key in _threes(seq):
-                threes[key][n] += 1
             for a in sorted({a for x, y in self.sentences[n] if 0 < y - x <= 5 for a in range(max(0, y - 5), min(x, len(seq) - 5) + 1)}):
-                split[seq[a], seq[a + 1], seq[a + 3], seq[a + 4]][n] += 1
-        self.threes = {k: tuple(v.items()) for k, v in threes.items()}
-        self.split = {k: tuple(v.items()) for k, v in split.items()}
-
-    def seeds(self, seq: list[int]) -> dict[int, int]:
-        """Item number -> places of the item where a run of three tokens, or two and two around an exchanged one, is found in seq."""
-        hits: dict[int, int] = defaultdict(int)
-        for key in self.threes.keys() & set(_threes(seq)):
-            for n, times in self.threes[key]:
-                hits[n] += times
+                self.split[seq[a], seq[a + 1], seq[a + 3], seq[a + 4]].append((n, a))
+        # the sentence of every token; those of up to eight tokens may count by a single run of three
+        self.around = [[(x, y) for x, y in spans for _ in range(y - x)] for spans in self.sentences]
+        self.figured = [[k in self.figures for k in seq] for seq in self.words]
+
+    def _extend(self, last: int, c: int) -> int:
+        nxt, link, length = self.next, self.link, self.length
+        if c in nxt[last]:
+            q = nxt[last][c]
+            if length[q] == length[last] + 1:
+                return q
+            return self._clone(last, q, c)
+        cur = len(length)
+        nxt.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        p = last
+        while p >= 0 and c not in nxt[p]:
+            nxt[p][c] = cur
+            p = link[p]
+        if p >= 0:
+            q = nxt[p][c]
+            link[cur] = q if length[q] == length[p] + 1 else self._clone(p, q, c)
+        return cur
+
+    def _clone(self, p: int, q: int, c: int) -> int:
+        nxt, link, length = self.next, self.link, self.length
+        new = len(length)
+        nxt.append(dict(nxt[q]))
+        link.append(link[q])
+        length.append(length[p] + 1)
+        link[q] = new
+        while p >= 0 and nxt[p].get(c) == q:
+            nxt[p][c] = new
+            p = link[p]
+        return new
+
+    def seeds(self, seq: list[int]) -> dict[int, dict[int, list[int]]]:
+        """Item number -> diagonal -> places of the item whose run of three tokens stands there in seq, by the longest match at every token."""
+        nxt, link, length, three = self.next, self.link, self.length, self.three
+        found: dict[int, list[int]] = {}
+        state = size = 0
+        for at, c in enumerate(seq):
+            if not c:
+                state = size = 0
+                continue
+            while state and c not in nxt[state]:
+                state = link[state]
+                size = length[state]
+            to = nxt[state].get(c)
+            if to is None:
+                state = size = 0
+                continue
+            state = to
+            size += 1
+            if size >= 3:
+                found.setdefault(three[state], []).append(at - 2)
+        hits: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for s, ends in found.items():
+            for n, at in self.places[s]:
+                by = hits[n]
+                for j in ends:
+                    by[j - at].append(at)
         if self.split:
-            for four in self.split.keys() & set(zip(seq, seq[1:], seq[3:], seq[4:])):
-                for n, times in self.split[four]:
-                    hits[n] += times
+            for j, four in enumerate(zip(seq, seq[1:], seq[3:], seq[4:])):
+                for n, at in self.split.get(four, ()):
+                    hits[n][j - at].extend((at, at + 1))
         return hits
 
-    def covered(self, n: int, seq: list[int], where: dict[int, list[int]], stretch: int, gap: int = 2) -> float:
-        """Share of item n that stretches found in seq cover.
+    def reachable(self, n: int, diagonals: dict[int, list[int]], seq: list[int]) -> float:
+        """At most how many tokens of item n stretches on these diagonals can cover.
+
+        A stretch of L tokens that counts has at most L / 9 + 1 exchanged ones,
+        none of them a figure.  With r of its runs three tokens or longer, C
+        tokens in them and the other runs two long, L <= 1.5 * (C + 5 - 2 r).
+        Its runs of three lie at most six tokens apart, and there are two places
+        of three at least; a single place can only count for a sentence of up
+        to eight tokens with at most one exchanged.
+        """
+        total = 0.0
+        item, around, figured, size = self.words[n], self.around[n], self.figured[n], len(seq)
+
+        def alone(at: int, d: int) -> int:
+            best = 0
+            for x, y in {around[k] for k in range(at, min(at + 3, len(around)))}:
+                if y - x <= 8 and x + d >= 0 and y + d <= size and sum(item[k] != seq[k + d] for k in range(x, y)) <= 1:
+                    best += y - x
+            return best
+
+        for d, places in diagonals.items():
+            if len(places) == 1:
+                total += alone(places[0], d)
+                continue
+            places.sort()
+            first = last = places[0]
+            tokens, count = 3, 1
+            for at in places[1:]:
+                if at - last <= 9 and not any(figured[k] and item[k] != seq[k + d] for k in range(last + 3, at)):
+                    tokens += min(3, at - last)
+                    count += at != last
+                else:
+                    total += min(last + 11 - first, 1.5 * (tokens + 3)) if count > 1 else alone(first, d)
+                    first, tokens, count = at, 3, 1
+                last = at
+            total += min(last + 11 - first, 1.5 * (tokens + 3)) if count > 1 else alone(first, d)
+        return total
+
+    def covered(self, n: int, where: dict[int, list[int]], stretch: int, gap: int = 2) -> tuple[float, list[tuple[int, int]]]:
+        """Share of item n that stretches found in the document cover, and their places there (tokens).
 
         Inside a stretch one word in nine may differ, but no figure or code:
         texts made from the same forms agree in all but these.
@@ -127,44 +248,58 @@ class Index:
                 else:
                     if at is not None:
                         joined.append(at)
-                    at = [a, b, b - a]
+                    at = [a, b, b - a, d]
             joined.append(at)
         mark = bytearray(len(item))
-        for a, b, hit in joined:
+        out = []
+        for a, b, hit, d in joined:
             if b - a >= stretch and (b - a) - hit <= (b - a) // 9 + 1:
                 mark[a:b] = b"\1" * (b - a)
+                out.append((a + d, b + d))
             elif hit >= 3 and (b - a) - hit <= 1:
                 for x, y in self.sentences[n]:
                     if y > x and a <= x and b >= y:
                         mark[x:y] = b"\1" * (y - x)
-        return sum(mark) / len(item) if item else 0.0
+                        out.append((x + d, y + d))
+        return (sum(mark) / len(item) if item else 0.0), out
 
-    def leaked(self, seq: list[int], share: float, words: int, signs: int) -> list[tuple[int, float]]:
-        """(item number, covered share) of the items that leaked into one token stream."""
+    def leaked(self, seq: list[int], share: float, words: int, signs: int) -> list[tuple[int, float, list[tuple[int, int]]]]:
+        """(item number, covered share, token spans) of the items that leaked into one token stream."""
         out = []
         where: dict[int, list[int]] | None = None
-        for n, total in self.seeds(seq).items():
-            if total * _SEED_SHARE < share * len(self.words[n]):
+        for n, diagonals in self.seeds(seq).items():
+            if self.reachable(n, diagonals, seq) < share * len(self.words[n]):
                 continue
             if where is None:
                 where = defaultdict(list)
                 for j in range(len(seq) - 1):
                     if seq[j] and seq[j + 1]:
                         where[seq[j] << 32 | seq[j + 1]].append(j)
-            got = self.covered(n, seq, where, signs if self.han[n] else words)
+            got, spans = self.covered(n, where, signs if self.han[n] else words)
             if got >= share:
-                out.append((n, got))
+                out.append((n, got, spans))
         return out
 
 
-def leaks(docs: DataFrame, items: DataFrame, share: float = 0.4, words: int = 10, signs: int = 20, block_chars: int = 8_000_000) -> DataFrame:
-    """doc_id, item_id, share: the items of which at least ``share`` recurs in a document.
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
 
-    ``items`` is held-out material: it is read on the driver in blocks of at
-    most ``block_chars`` characters, and one index per block is broadcast;
-    the corpus streams once per block and is never shuffled.  Null and empty
-    texts have no tokens and leak nothing; an empty item leaks nowhere;
-    repeated documents give repeated rows, repeated items one row each.
+def leaks(docs: DataFrame, items: DataFrame, share: float = 0.4, words: int = 10, signs: int = 20, block_chars: int = 8_000_000) -> DataFrame:
+    """doc_id, item_id, share, spans: the items of which at least ``share`` recurs in a document, and where.
+
+    ``items`` is held-out material of fixed size: it is read on the driver in
+    blocks of at most ``block_chars`` characters, and one index per block is
+    broadcast; the corpus streams once per block and is never shuffled.  Null
+    and empty texts have no tokens and leak nothing; an empty item leaks
+    nowhere; repeated documents give repeated rows, repeated items one row
+    each.  Spans are code-point offsets, merged and in order.
     """
     spark: SparkSession = docs.sparkSession
     blocks: list[list[tuple[int, str]]] = [[]]
@@ -179,12 +314,13 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.4, words: int = 10
     out = None
     for block in blocks:
         shared = spark.sparkContext.broadcast(Index(block))
-        one = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).where("text is not null").mapInArrow(_stream(shared, share, words, signs), "doc_id bigint, item_id bigint, share double")
+        one = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).where("text is not null").mapInArrow(_stream(shared, share, words, signs), "doc_id bigint, item_id bigint, share double, spans array<struct<start:int,end:int>>")
         out = one if out is None else out.union(one)
     return out
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64())])
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64()), ("spans", _SPANS)])
 
 
 def _stream(shared, share: float, words: int, signs: int):
@@ -193,14 +329,31 @@ def _stream(shared, share: float, words: int, signs: int):
         keys = _Keys(index.classes)
 
         def one(batch: pa.RecordBatch) -> dict[str, list]:
-            docs, ids, shares = [], [], []
+            out: dict[str, list] = {n: [] for n in _SCHEMA.names}
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for n, got in index.leaked([keys[x] for x in tokens(t)], share, words, signs):
-                    docs.append(d)
-                    ids.append(index.ids[n])
-                    shares.append(got)
-            return {"doc_id": docs, "item_id": ids, "share": shares}
+                hits = index.leaked([keys[x] for x in tokens(t)], share, words, signs)
+                at = [m.span() for m in _TOKENS.finditer(_lower(t))] if hits else []
+                for n, got, spans in hits:
+                    for name, value in zip(_SCHEMA.names, (d, index.ids[n], got, [{"start": at[a][0], "end": at[b - 1][1]} for a, b in _merged(spans)])):
+                        out[name].append(value)
+            return out
 
         return chunked(one, _SCHEMA)(batches)
 
     return run
+
+
+def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, text of the documents with leaked spans, these removed; spans are gathered per document, at most one for each item."""
+    from pyspark.sql import functions as F
+
+    per = found.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+
+    def step(acc, x):
+        keep = F.greatest(x["start"] - acc["at"], F.lit(0))
+        return F.struct(F.concat(acc["text"], F.substring(F.col("text"), acc["at"] + 1, keep)).alias("text"), F.greatest(acc["at"], x["end"]).alias("at"))
+
+    left = F.aggregate("spans", start, step)
+    joined = docs.select("doc_id", "text").join(per, "doc_id").withColumn("left", left)
+    return joined.select("doc_id", F.concat(F.col("left.text"), F.substring(F.col("text"), F.col("left.at") + 1, F.length("text"))).alias("text"))

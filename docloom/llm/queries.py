@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions.shared import kept
 from docloom.llm.addresses import locations, pairs
 from docloom.llm.encodings import repaired
-from docloom.llm.leaks import leaks
+from docloom.llm.leaks import leaks, without_spans
 from docloom.llm.markup import clean_blocks, markup
 from docloom.llm.names import owners
 from docloom.llm.noise import noise, repaired_pages
@@ -120,6 +120,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(docs.select("doc_id", "text"), items).select("doc_id", "item_id").distinct()
 
 
+def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the leaked passages in every document."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")
+    return leaks(docs.select("doc_id", "text"), items).select("doc_id", "item_id", F.explode("spans").alias("s")).select("doc_id", "item_id", F.col("s.start").alias("start_pos"), F.col("s.end").alias("end_pos")).distinct()
+
+
+def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affected documents without the leaked passages."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "eval_items")
+    return without_spans(docs, leaks(docs, items))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentence units of every document."""
     return sentence_units(table(spark, sf_dir, "documents"))
@@ -127,7 +139,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
-    return {f.__name__: f for f in (p1_found, p1_text, p2_found, p2_locations, p3_found, p3_text, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p9_found)}
+    return {f.__name__: f for f in (p1_found, p1_text, p2_found, p2_locations, p3_found, p3_text, p4_found, p4_repaired, p5_found, p5_owners, p7_sequences, p7_fill, p8_found, p8_spans, p8_clean, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:

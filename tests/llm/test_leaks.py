@@ -4,7 +4,7 @@ from docloom.llm.leaks import Index, _Keys, tokens
 def leaked(items, text):
     index = Index(list(enumerate(items)))
     keys = _Keys(index.classes)
-    return sorted(n for n, _ in index.leaked([keys[t] for t in tokens(text)], 0.4, 10, 20))
+    return sorted(n for n, *_ in index.leaked([keys[t] for t in tokens(text)], 0.4, 10, 20))
 
 
 W = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
@@ -28,3 +28,22 @@ def test_chinese_sign_changed():
 def test_part_shared_with_another_item():
     assert leaked([" ".join(W), " ".join([*W, "nu", "xi", "omicron"])], " ".join([*W, "nu", "xi", "omicron"])) == [0, 1]
     assert leaked([" ".join(W)], "nothing of this recurs here at all") == []
+
+
+def test_confusable_pairs_have_one_class():
+    from docloom.llm.leaks import _ALIKE, CONFUSABLE
+
+    assert all(a.translate(_ALIKE) == b.translate(_ALIKE) for a, b in CONFUSABLE.split())
+    item = "Ещё раз всё проверено и учтено надёжно сегодня утром при всех."
+    assert leaked([item], item.replace("ё", "е")) == [0]
+
+
+def test_spans_are_removed(spark):
+    from docloom.llm.leaks import leaks, without_spans
+
+    text = "Before it. " + " ".join(W) + ". After it."
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(W) + "."), (8, None)], "item_id bigint, text string")
+    found = leaks(docs, items)
+    assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(1, 7)]
+    assert without_spans(docs, found).first()["text"] == "Before it. . After it."
