@@ -1,22 +1,23 @@
 """Address records of one location, whatever way they are written.
 
-An address is read into a bag: its numbers with their roles (house, letter,
-building, flat), its street with kind and modifiers, settlement, district,
-region and postal code, all in one reading alphabet for Cyrillic and both
-Latin transcriptions.  Linking is numbers first: records are blocked on the
-sorted digit tokens plus one parsed word (settlement or street), the parts must
-agree, and the other word may be a typo apart when at least one of the two is
-rare.  There is no overlap over all tokens: a word that the parser puts into
-the wrong part is not rescued.
+An address is read into a bag of tokens: its numbers with their roles (house,
+letter, building, flat) and its words (settlement, street, region, district),
+all in one reading alphabet for Cyrillic and both Latin transcriptions, rare
+spellings corrected by the frequent ones of the corpus.  Linking is numbers
+first: records are blocked on the sorted digit tokens plus one rare word; what
+else they have in common is the intersection of their word arrays, weighted by
+rarity; words of settlement and street that stay unmatched must be a typo apart
+with one of them rare.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import product
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.arrow import chunked
@@ -136,8 +137,9 @@ def parse(address: str) -> dict[str, str | None]:
         takers.remove(other)
     best, score = (), -1.0
     options = [[a for a in (k[0] - 1, k[0] + 1) if a in where] + [None] for k in takers]
-    if len(takers) <= 6:
-        for pick in product(*options):
+    # every kind word has at most three choices; a long text is settled from left to right in groups of six
+    if takers:
+        for pick in _picks(options):
             used = [p for p in pick if p is not None]
             if len(set(used)) < len(used):
                 continue
@@ -178,6 +180,18 @@ def parse(address: str) -> dict[str, str | None]:
     return out
 
 
+def _picks(options: list[list]) -> Iterator[tuple]:
+    """All combinations of the choices, for more than six in groups of which the earlier ones keep their first free choice."""
+    if len(options) <= 6:
+        yield from product(*options)
+        return
+    head: list = []
+    for o in options[:-6]:
+        head.append(next(x for x in o if x is None or x not in head))
+    for tail in product(*options[-6:]):
+        yield (*head, *tail)
+
+
 _PARSED = pa.schema([("record_id", pa.int64())] + [(f, pa.string()) for f in FIELDS])
 
 
@@ -240,14 +254,15 @@ def _most(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n")).groupBy(key).agg(F.max_by(value, F.struct("n", value)).alias(f"{key}_{value}"), F.max("n").alias(f"{key}_n"))
 
 
-def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "address") -> DataFrame:
+def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "address", least: float = 0.6) -> DataFrame:
     """record_id, location of every record with a non-blank address.
 
-    Numbers first: readings are blocked on their sorted digit tokens plus the
-    settlement or the street; modifier, house, building and flat must be equal,
-    and the other word must be equal or within two typos with one of them rare.  A postal code stands for its settlement, by itself where no record names that.  Null and
-    blank addresses have no row; equal readings always share a location; an
-    address without settlement and postal code stands alone with its equals.
+    Equal readings always share a location; others are linked when modifier,
+    house, building and flat are equal and the words agree (see ``_accepted``).
+    A postal code stands for its settlement, by itself where no record names
+    that.  Null and blank addresses have no row; an address of which neither
+    street nor house was read stands alone, one without settlement and postal
+    code with its equals.
     """
     rows = kept(parsed(records, id_col, text_col))
     by_postal = _most(rows, "postal", "place")
@@ -255,51 +270,85 @@ def locations(records: DataFrame, id_col: str = "record_id", text_col: str = "ad
     places = rows.where("place is not null").groupBy("place").agg(F.count(F.lit(1)).alias("n")).join(region.select("place", F.col("place_region").alias("near")), "place", "left").withColumnRenamed("place", "word")
     streets = rows.where("street is not null").groupBy(F.col("street").alias("word")).agg(F.count(F.lit(1)).alias("n")).withColumn("near", F.lit(None).cast("string"))
     # a settlement that a postal code names outright is as good as a frequent one
-    fix_place, fix_street = corrected(places, 4), corrected(streets, 8)
+    fix_place, fix_street = kept(corrected(places, 4)), corrected(streets, 8)
     named = rows.join(by_postal.select("postal", "postal_place"), "postal", "left").join(fix_place.select(F.col("word").alias("place"), F.col("target").alias("place_fix")), "place", "left").join(fix_street.select(F.col("word").alias("street"), F.col("target").alias("street_fix")), "street", "left")
     fix_post = fix_place.select(F.col("word").alias("postal_place"), F.col("target").alias("post_fix"))
+    exact = ("street_kind", "modifier", "house", "corp", "flat")
     forms = named.join(fix_post, "postal_place", "left").select(
         "record_id",
         F.coalesce("post_fix", "postal_place", "place_fix", "place", F.concat(F.lit("postal:"), "postal")).alias("place"),
+        F.coalesce("street_fix", "street").alias("street"),
         "region",
         "district",
-        F.coalesce("street_fix", "street").alias("street"),
-        "street_kind",
-        "modifier",
-        "house",
-        "corp",
-        "flat",
+        *exact,
         F.concat_ws(" ", F.sort_array(F.array_compact(F.array("house", "corp", "flat", F.regexp_extract(F.coalesce("modifier", F.lit("")), r"\d+", 0))))).alias("digits"),
     )
-    node = F.xxhash64(*[F.coalesce(c, F.lit("")) for c in ("place", "street", "street_kind", "modifier", "house", "corp", "flat")])
-    # nothing of an address without street and house was read, so there is nothing to be equal in
-    alone = F.xxhash64(F.lit("alone"), *[F.coalesce(c, F.lit("")) for c in ("region", "district", "street", "street_kind", "modifier", "house", "corp", "flat")])
-    forms = kept(forms.withColumn("node", F.when(F.col("place").isNotNull(), node).when(F.col("street").isNull() & F.col("house").isNull(), F.xxhash64(F.lit("unread"), "record_id")).otherwise(alone)))
-    distinct = forms.where("place is not null").dropDuplicates(["node"]).select("node", "place", "street", "street_kind", "modifier", "house", "corp", "flat", "digits")
-    edges = _linked(distinct, "place", "street", streets).union(_linked(distinct, "street", "place", places))
-    found = components(edges, "a", "b")
+    whole = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in ("place", "street", *exact, "region", "district")])
+    forms = kept(forms.withColumn("node", F.when(F.col("place").isNull() & F.col("street").isNull() & F.col("house").isNull(), F.concat_ws("|", F.lit("unread"), "record_id")).otherwise(whole)))
+    distinct = kept(forms.where("place is not null and street is not null").select("node", "place", "street", "region", "district", *exact, "digits").distinct())
+    # rarity of every word over all records
+    words = forms.select(F.explode(F.array_compact(F.array("place", "street", "region", "district"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    total = words.agg(F.sum("n").alias("total"))
+    words = kept(words.crossJoin(F.broadcast(total)).select("word", "n", F.log(F.lit(1.0) + F.col("total") / F.col("n")).alias("w")))
+    for c in ("place", "street", "region", "district"):
+        distinct = distinct.join(words.select(F.col("word").alias(c), F.col("n").alias(f"{c}_n"), F.col("w").alias(f"{c}_w")), c, "left")
+    edges = _linked(kept(distinct), least)
+    # forms that differ in what need not be written only are one by their equal core
+    core = F.concat_ws("|", F.lit("core"), *[F.coalesce(c, F.lit("")) for c in ("place", "street", *exact)])
+    same = forms.where("place is not null or street is not null or house is not null").select(F.col("node").alias("a"), core.alias("b")).distinct()
+    found = components(edges.union(same), "a", "b")
     return forms.join(found, forms["node"] == found["node"], "left").select("record_id", F.coalesce("component", forms["node"]).alias("location"))
 
 
-def _linked(forms: DataFrame, rare: str, other: str, words: DataFrame) -> DataFrame:
-    """Pairs of forms with the same digits and rare word whose other word is one typo-distance away."""
-    n = words.select(F.col("word").alias(other), "n")
-    side = forms.where(f"{rare} is not null and {other} is not null").join(n, other, "left")
-    cols = ("node", other, "street_kind", "modifier", "house", "corp", "flat", "n")
-    left = side.select("digits", rare, *[F.col(c).alias(f"{c}_1") for c in cols])
-    right = side.select("digits", rare, *[F.col(c).alias(f"{c}_2") for c in cols])
-    same = [F.col(f"{c}_1").eqNullSafe(F.col(f"{c}_2")) for c in ("modifier", "house", "corp", "flat")]
-    kinds = F.col("street_kind_1").isNull() | F.col("street_kind_2").isNull() | (F.col("street_kind_1") == F.col("street_kind_2"))
-    short = F.least(F.length(f"{other}_1"), F.length(f"{other}_2"))
-    swap = F.sort_array(F.split(f"{other}_1", "")) == F.sort_array(F.split(f"{other}_2", ""))
-    near = F.levenshtein(F.col(f"{other}_1"), F.col(f"{other}_2"), 2).between(0, 2) & (swap | (F.levenshtein(F.col(f"{other}_1"), F.col(f"{other}_2"), 2) <= F.when(short < 6, 1).otherwise(2)))
-    one_rare = F.least("n_1", "n_2") * 4 <= F.greatest(F.lit(4), F.col("n_1"), F.col("n_2"))
-    both_rare = F.greatest("n_1", "n_2") <= 2
-    hit = left.join(right, ["digits", rare]).where(F.col("node_1") < F.col("node_2"))
-    for c in same:
-        hit = hit.where(c)
-    equal = F.col(f"{other}_1") == F.col(f"{other}_2")
-    return hit.where(kinds & (equal | (near & (one_rare | both_rare)))).select(F.col("node_1").alias("a"), F.col("node_2").alias("b"))
+def _linked(forms: DataFrame, least: float) -> DataFrame:
+    """Pairs of forms in one block that are accepted.
+
+    A block is the digits with the rarer word, or with one word and two letters
+    at either end of the other: a typo spoils one end at most.  Forms without
+    digits are blocked on both words.
+    """
+    rare = F.when(F.coalesce("street_n", F.lit(0)) <= F.coalesce("place_n", F.lit(0)), F.col("street")).otherwise(F.col("place"))
+    key = lambda *c: F.concat_ws("|", "digits", *c)
+    # a typo makes a word rare, so either word can be the one that is whole
+    ends = [key(F.lit(f"{mark}{a[0]}"), a, end(b)) for a, b in (("place", "street"), ("street", "place")) for mark, end in (("h", lambda c: F.substring(c, 1, 2)), ("t", lambda c: F.expr(f"right({c}, 2)")))]
+    keys = F.when(F.col("digits") == "", F.array(key("place", "street"))).otherwise(F.array(key(F.lit("r"), rare), *ends))
+    side = forms.withColumn("rare", rare).withColumn("block", keys).withColumn("block", F.explode(F.array_distinct("block")))
+    cols = [c for c in side.columns if c not in ("block", "digits", "rare")]
+    one = lambda n: side.select("block", F.col("digits").alias(f"digits_{n}"), *[F.col(c).alias(f"{c}_{n}") for c in cols])
+    pair = one(1).join(one(2), "block").where("node_1 < node_2")
+    for c in ("modifier", "house", "corp", "flat"):
+        pair = pair.where(F.col(f"{c}_1").eqNullSafe(F.col(f"{c}_2")))
+    pair = pair.where("street_kind_1 is null or street_kind_2 is null or street_kind_1 = street_kind_2")
+    return pair.where(_accepted(least)).select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct()
+
+
+def _accepted(least: float) -> Column:
+    """Whether the words of two forms agree.
+
+    The rarity-weighted overlap of the token arrays reaches ``least`` of the
+    lighter side, and settlement and street of both sides are among the
+    other's tokens, but for one each, which are a typo apart and one of them
+    rare.
+    """
+    four = ("place", "street", "region", "district")
+    tokens = lambda n: F.array_distinct(F.array_compact(F.array(*[F.col(f"{c}_{n}") for c in four])))
+    core = lambda n: F.array(F.col(f"place_{n}"), F.col(f"street_{n}"))
+    weight = lambda n: sum((F.coalesce(f"{c}_w_{n}", F.lit(0.0)) for c in four), F.lit(0.0))
+    common = F.array_intersect(tokens(1), tokens(2))
+    shared = sum((F.when(F.array_contains(common, F.col(f"{c}_1")), F.coalesce(f"{c}_w_1", F.lit(0.0))).otherwise(0.0) for c in four), F.lit(0.0))
+    left_1, left_2 = F.array_except(core(1), tokens(2)), F.array_except(core(2), tokens(1))
+    x, y = F.get(left_1, F.lit(0)), F.get(left_2, F.lit(0))
+    n_x = F.when(x == F.col("place_1"), F.col("place_n_1")).otherwise(F.col("street_n_1"))
+    n_y = F.when(y == F.col("place_2"), F.col("place_n_2")).otherwise(F.col("street_n_2"))
+    swap = F.sort_array(F.split(x, "")) == F.sort_array(F.split(y, ""))
+    d = F.levenshtein(x, y, 2)
+    near = d.between(0, 2) & (swap | (d <= F.when(F.least(F.length(x), F.length(y)) < 6, 1).otherwise(2)))
+    # rare: a quarter of the other at most, or both seen twice at most
+    rare = (F.least(n_x, n_y) * 4 <= F.greatest(F.lit(4), n_x, n_y)) | (F.greatest(n_x, n_y) <= 2)
+    typo = (F.size(left_1) == 1) & (F.size(left_2) == 1) & near & rare
+    gained = F.when(typo, F.greatest(F.when(x == F.col("place_1"), F.col("place_w_1")).otherwise(F.col("street_w_1")), F.lit(0.0))).otherwise(0.0)
+    whole = (F.size(left_1) == 0) & (F.size(left_2) == 0)
+    return (whole | typo) & (shared + gained >= F.least(weight(1), weight(2)) * least)
 
 
 def pairs(members: DataFrame, member: str, group: str) -> DataFrame:
