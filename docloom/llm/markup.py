@@ -1,6 +1,12 @@
 """Markup left in parsed documents: its kinds, and the text without it.
 
-A grammar per markup language, no learned model: code blocks and displayed
+Which pieces of a text are markup is decided by gradient-boosted trees over the
+nodes of its tree (see ``nodes``): subtree density, attribute tokens, depth and
+siblings.  Decoding is hierarchical, so nothing inside an accepted code block
+or formula is accepted itself.  The trees are fitted on nodes of at most
+``FIT_ROWS`` texts; the tables hold no labels, so a node of these is labelled
+by the grammar below, read on the node alone.  The clean text is made by the
+grammar for the kinds that the trees found in it: code blocks and displayed
 formulas are set aside first, so nothing inside them is read as markup; then
 HTML and LaTeX structure becomes block marks, lines become blocks (heading,
 paragraph, item, row, quote, code, formula), and inline marks are taken off the
@@ -18,7 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.arrow import chunked
+from docloom.llm.nodes import HOLDS, Node, decoded, features, tree
+from docloom.llm.trees import Trees, fitted
 
+#: How many texts the trees are fitted on at most, and how many of their nodes.
+FIT_ROWS, FIT_NODES = 1500, 60_000
 KINDS = ("html", "latex", "markdown", "wiki")
 # HTML elements; other words in angle brackets are text.
 _TAGS = frozenset(
@@ -102,7 +112,8 @@ def _named(entity: str) -> bool:
 class _Reader:
     """Blocks and markup kinds of one text."""
 
-    def __init__(self) -> None:
+    def __init__(self, allowed: frozenset[str] = frozenset(KINDS)) -> None:
+        self.allowed = allowed
         self.kinds: set[str] = set()
         self.held: list[tuple[str, str]] = []
         self.blocks: list[tuple[str, int, str]] = []
@@ -148,6 +159,8 @@ class _Reader:
         return " " if name == "br" else ""
 
     def _take(self, pattern: re.Pattern, kind: str, by, text: str) -> str:
+        if kind not in self.allowed:
+            return text
         out, n = pattern.subn(by, text)
         if n:
             self.kinds.add(kind)
@@ -314,34 +327,56 @@ class _Reader:
         flush()
 
 
-def read(text: str) -> tuple[list[str], list[tuple[str, int, str]]]:
-    """(kinds of markup, (kind, level, clean text) of the blocks) of one text."""
-    reader = _Reader()
+def read(text: str, allowed: frozenset[str] = frozenset(KINDS)) -> tuple[list[str], list[tuple[str, int, str]]]:
+    """(kinds of markup, (kind, level, clean text) of the blocks) of one text by the grammar."""
+    reader = _Reader(allowed)
     reader.read(text)
     return sorted(reader.kinds), reader.blocks
 
 
-_KINDS = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("markup", pa.string())])
-_BLOCKS_OUT = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("seq", pa.int32()), ("kind", pa.string()), ("level", pa.int32()), ("text", pa.string())])
+def labels(text: str, nodes: list[Node]) -> list[int]:
+    """1 for the nodes that the grammar reads as markup of their kind, 0 for others and for all inside code and formulas."""
+    out: list[int] = []
+    for n in nodes:
+        up, held = n.parent, False
+        while up >= 0 and not held:
+            held = bool(out[up]) and nodes[up].name in HOLDS
+            up = nodes[up].parent
+        around = text[max(n.start - 1, 0) : n.end + 1] if n.name in ("stress", "strong", "formula", "bare", "quotes") else text[n.start : n.end]
+        out.append(int(not held and n.kind in read(around)[0]))
+    return out
 
 
-def _found(batch: pa.RecordBatch) -> dict[str, list]:
-    out: dict[str, list] = {n: [] for n in _KINDS.names}
-    for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
-        for kind in read(text)[0]:
-            out["src"].append(src)
-            out["rec_id"].append(rec)
-            out["markup"].append(kind)
-    return out
+def fit(texts: DataFrame, rows: int = FIT_ROWS) -> Trees:
+    """Trees fitted on the nodes of at most ``rows`` texts, taken by the hash of the text so that any size of table gives as many."""
+    import numpy as np
 
+    xs, ys, left = [], [], FIT_NODES
+    for (text,) in texts.select("text").orderBy(F.xxhash64("text"), "text").limit(rows).toLocalIterator():
+        nodes = tree(text)[:left]
+        nodes = [n for n in nodes if n.parent < len(nodes)]
+        for n in nodes:
+            n.children = [c for c in n.children if c < len(nodes)]
+        if nodes:
+            xs.append(features(text, nodes))
+            ys.extend(labels(text, nodes))
+            left -= len(nodes)
+        if left <= 0:
+            break
+    x = np.concatenate(xs) if xs else np.zeros((0, features("", []).shape[1]), dtype=np.float32)
+    return fitted(x, np.array(ys, dtype=np.float64))
 
-def _cleaned(batch: pa.RecordBatch) -> dict[str, list]:
-    out: dict[str, list] = {n: [] for n in _BLOCKS_OUT.names}
-    for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
-        for seq, (kind, level, clean) in enumerate(read(text)[1]):
-            for name, value in zip(_BLOCKS_OUT.names, (src, rec, seq, kind, level, clean)):
-                out[name].append(value)
-    return out
+
+def found_kinds(text: str, model: Trees) -> list[str]:
+    """The kinds of the nodes that the trees and the decoding accept."""
+    nodes = tree(text)
+    if not nodes:
+        return []
+    return sorted({nodes[k].kind for k in decoded(nodes, model.log_odds(features(text, nodes)))} - {""})
+
+
+_KINDS = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("markup", pa.string())])
+_BLOCKS_OUT = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("seq", pa.int32()), ("kind", pa.string()), ("level", pa.int32()), ("text", pa.string())])
 
 
 def _texts(texts: DataFrame) -> DataFrame:
@@ -349,14 +384,40 @@ def _texts(texts: DataFrame) -> DataFrame:
 
 
 def markup(texts: DataFrame) -> DataFrame:
-    """src, rec_id, markup: one row per text of ``texts`` (src, rec_id, text) and kind of markup in it; null and blank texts have none."""
-    return _texts(texts).mapInArrow(chunked(_found, _KINDS, 128), "src string, rec_id bigint, markup string")
+    """src, rec_id, markup: one row per text of ``texts`` (src, rec_id, text) and kind of markup in it.
+
+    Null and blank texts have none; repeated texts give repeated rows; an empty
+    table gives none.
+    """
+    rows = _texts(texts)
+    shared = rows.sparkSession.sparkContext.broadcast(fit(rows))
+
+    def one(batch: pa.RecordBatch) -> dict[str, list]:
+        out: dict[str, list] = {n: [] for n in _KINDS.names}
+        for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for kind in found_kinds(text, shared.value):
+                for name, value in zip(_KINDS.names, (src, rec, kind)):
+                    out[name].append(value)
+        return out
+
+    return rows.mapInArrow(chunked(one, _KINDS, 128), "src string, rec_id bigint, markup string")
 
 
 def clean_blocks(texts: DataFrame) -> DataFrame:
-    """src, rec_id, seq, kind, level, text: the blocks of every text in order, without markup.
+    """src, rec_id, seq, kind, level, text: the blocks of every text in order, without markup of the kinds found in it.
 
     kind is 'heading' (with its level), 'paragraph', 'item', 'row' (cells parted
     by tabs), 'quote', 'code' or 'formula'; the last two keep their own source.
     """
-    return _texts(texts).mapInArrow(chunked(_cleaned, _BLOCKS_OUT, 128), "src string, rec_id bigint, seq int, kind string, level int, text string")
+    rows = _texts(texts)
+    shared = rows.sparkSession.sparkContext.broadcast(fit(rows))
+
+    def one(batch: pa.RecordBatch) -> dict[str, list]:
+        out: dict[str, list] = {n: [] for n in _BLOCKS_OUT.names}
+        for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for seq, (kind, level, clean) in enumerate(read(text, frozenset(found_kinds(text, shared.value)))[1]):
+                for name, value in zip(_BLOCKS_OUT.names, (src, rec, seq, kind, level, clean)):
+                    out[name].append(value)
+        return out
+
+    return rows.mapInArrow(chunked(one, _BLOCKS_OUT, 128), "src string, rec_id bigint, seq int, kind string, level int, text string")
