@@ -16,7 +16,7 @@ def test_trees_learn_an_interaction():
 
 def test_nothing_inside_code_is_accepted():
     nodes = tree("```\n<b>x</b>\n```\n\n<i>y</i>")
-    got = decoded(nodes, np.full(len(nodes), 3.0))
+    got = decoded(nodes, np.array([9.0 if n.name == "fence" else 3.0 for n in nodes]))
     assert sorted(nodes[k].name for k in got) == ["fence", "tag", "tag"] and all(nodes[k].parent < 0 for k in got)
     # when the code block is unlikely, what is in it counts
     got = decoded(nodes, np.array([-9.0 if n.name == "fence" else 3.0 for n in nodes]))
