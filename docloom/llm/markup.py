@@ -352,7 +352,7 @@ def fit(texts: DataFrame, rows: int = FIT_ROWS) -> Trees:
     import numpy as np
 
     xs, ys, left = [], [], FIT_NODES
-    for (text,) in texts.select("text").orderBy(F.xxhash64("text"), "text").limit(rows).toLocalIterator():
+    for (text,) in texts.where("text is not null").select("text").orderBy(F.xxhash64("text"), "text").limit(rows).toLocalIterator():
         nodes = tree(text)[:left]
         nodes = [n for n in nodes if n.parent < len(nodes)]
         for n in nodes:
