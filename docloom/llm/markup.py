@@ -28,7 +28,7 @@ from docloom.llm.nodes import HOLDS, Node, decoded, features, tree
 from docloom.llm.trees import Trees, fitted
 
 #: How many texts the trees are fitted on at most, and how many of their nodes.
-FIT_ROWS, FIT_NODES = 1500, 60_000
+FIT_ROWS, FIT_NODES = 800, 40_000
 KINDS = ("html", "latex", "markdown", "wiki")
 # HTML elements; other words in angle brackets are text.
 _TAGS = frozenset(
@@ -364,15 +364,25 @@ def fit(texts: DataFrame, rows: int = FIT_ROWS) -> Trees:
         if left <= 0:
             break
     x = np.concatenate(xs) if xs else np.zeros((0, features("", []).shape[1]), dtype=np.float32)
-    return fitted(x, np.array(ys, dtype=np.float64))
+    return fitted(x, np.array(ys, dtype=np.float64), rounds=40)
 
 
-def found_kinds(text: str, model: Trees) -> list[str]:
-    """The kinds of the nodes that the trees and the decoding accept."""
-    nodes = tree(text)
-    if not nodes:
-        return []
-    return sorted({nodes[k].kind for k in decoded(nodes, model.log_odds(features(text, nodes)))} - {""})
+def found_kinds(texts: list[str], model: Trees) -> list[list[str]]:
+    """For every text the kinds of the nodes that the trees and the decoding accept; the nodes of all texts are scored together."""
+    import numpy as np
+
+    trees = [tree(t) for t in texts]
+    marked = [k for k, nodes in enumerate(trees) if nodes]
+    out: list[list[str]] = [[] for _ in texts]
+    if not marked:
+        return out
+    odds = model.log_odds(np.concatenate([features(texts[k], trees[k]) for k in marked]))
+    at = 0
+    for k in marked:
+        nodes = trees[k]
+        out[k] = sorted({nodes[n].kind for n in decoded(nodes, odds[at : at + len(nodes)])} - {""})
+        at += len(nodes)
+    return out
 
 
 _KINDS = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("markup", pa.string())])
@@ -394,8 +404,9 @@ def markup(texts: DataFrame) -> DataFrame:
 
     def one(batch: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in _KINDS.names}
-        for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
-            for kind in found_kinds(text, shared.value):
+        src_of, rec_of, text_of = (c.to_pylist() for c in batch.columns)
+        for src, rec, kinds in zip(src_of, rec_of, found_kinds(text_of, shared.value)):
+            for kind in kinds:
                 for name, value in zip(_KINDS.names, (src, rec, kind)):
                     out[name].append(value)
         return out
@@ -414,8 +425,9 @@ def clean_blocks(texts: DataFrame) -> DataFrame:
 
     def one(batch: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in _BLOCKS_OUT.names}
-        for src, rec, text in zip(*[c.to_pylist() for c in batch.columns]):
-            for seq, (kind, level, clean) in enumerate(read(text, frozenset(found_kinds(text, shared.value)))[1]):
+        src_of, rec_of, text_of = (c.to_pylist() for c in batch.columns)
+        for src, rec, text, kinds in zip(src_of, rec_of, text_of, found_kinds(text_of, shared.value)):
+            for seq, (kind, level, clean) in enumerate(read(text, frozenset(kinds))[1]):
                 for name, value in zip(_BLOCKS_OUT.names, (src, rec, seq, kind, level, clean)):
                     out[name].append(value)
         return out

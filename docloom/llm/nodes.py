@@ -106,6 +106,7 @@ def features(text: str, nodes: list[Node]) -> np.ndarray:
     shapes = Counter(n.shape for n in nodes)
     kinds = Counter(n.kind for n in nodes)
     rows = np.zeros((len(nodes), len(NAMES) + 32), dtype=np.float32)
+    lower = text.lower()
     for at, n in enumerate(nodes):
         body = text[n.start : n.end]
         size = len(body)
@@ -124,7 +125,7 @@ def features(text: str, nodes: list[Node]) -> np.ndarray:
         rows[at, len(NAMES) :] = (
             n.depth, len(n.children), len(siblings), shapes[n.shape], kinds[n.kind], holder + 1, size, letters / size, inner / size, sum(c.isdigit() for c in body) / size, body.count(" "), body.count("\n"),
             len(_ATTRIBUTE.findall(body)), token in _HTML, token in _TEX, body.startswith("</"), body.count("\\"), body.count("{"), body.count("^") + body.count("_"), body.count("|"), body.count("="), before.isalnum(), before.isspace(), after.isalnum(), after.isspace(),
-            n.start == 0 or before == "\n", after == "\n", len(line), size / max(len(line), 1), any("а" <= c.lower() <= "я" for c in body), text.count(f"</{token}") if token in _HTML else 0, before in "([«\"",
+            n.start == 0 or before == "\n", after == "\n", len(line), size / max(len(line), 1), any("а" <= c.lower() <= "я" for c in body), lower.count(f"</{token}") if token in _HTML else 0, before in "([«\"",
         )
     return rows
 
@@ -135,7 +136,7 @@ def decoded(nodes: list[Node], odds: np.ndarray) -> set[int]:
     Children are settled before parents.  Accepting a holding node rules its
     descendants out, which costs what they would have gained.
     """
-    yes, no = -np.logaddexp(0, -odds), -np.logaddexp(0, odds)
+    yes, no = (-np.logaddexp(0, -odds)).tolist(), (-np.logaddexp(0, odds)).tolist()
     best: list[float] = [0.0] * len(nodes)
     without: list[float] = [0.0] * len(nodes)
     take = [False] * len(nodes)
