@@ -28,7 +28,7 @@ from docloom.llm.nodes import HOLDS, Node, decoded, features, tree
 from docloom.llm.trees import Trees, fitted
 
 #: How many texts the trees are fitted on at most, and how many of their nodes.
-FIT_ROWS, FIT_NODES = 800, 40_000
+FIT_ROWS, FIT_NODES = 1200, 40_000
 KINDS = ("html", "latex", "markdown", "wiki")
 # HTML elements; other words in angle brackets are text.
 _TAGS = frozenset(
@@ -364,7 +364,7 @@ def fit(texts: DataFrame, rows: int = FIT_ROWS) -> Trees:
         if left <= 0:
             break
     x = np.concatenate(xs) if xs else np.zeros((0, features("", []).shape[1]), dtype=np.float32)
-    return fitted(x, np.array(ys, dtype=np.float64), rounds=40)
+    return fitted(x, np.array(ys, dtype=np.float64), rounds=50)
 
 
 def found_kinds(texts: list[str], model: Trees) -> list[list[str]]:
