@@ -1,6 +1,7 @@
 """Noise that scanning leaves in text: cut words, misread letters, running lines, page numbers.
 
-Everything is joined in SQL.  A word's anagram hash is the sum of the fifth
+One pass over the texts takes out the words, cut words and edge lines of every
+record; all else is joined in SQL.  A word's anagram hash is the sum of the fifth
 powers of its code points, so exchanging one string of letters for another
 changes it by a fixed difference.  Adding the differences of the confusable
 strings to the hashes of the frequent words and joining on the hash finds their
@@ -14,6 +15,8 @@ out, joins cut words, puts the right words in and joins wrapped lines.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -54,14 +57,9 @@ def differences(confused: str = CONFUSED) -> list[tuple[str, str, int]]:
     return [(a, b, sum(ord(c) ** 5 for c in b) - sum(ord(c) ** 5 for c in a)) for a, b in pairs]
 
 
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-
-
-def vocabulary(pages: DataFrame) -> DataFrame:
+def vocabulary(seen: DataFrame) -> DataFrame:
     """word, n over all texts; cut words are left out, they are what is judged."""
-    whole = F.regexp_replace("text", CUT, " ")
-    return pages.select(F.explode(_words(whole)).alias("word")).where("length(word) >= 2").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return seen.where("counted is not null").select(F.explode("counted").alias("x")).groupBy(F.col("x.word").alias("word")).agg(F.sum("x.n").alias("n"))
 
 
 def misread_words(vocab: DataFrame, ratio: int = 12, least: int = 8, share: float = 2e-6) -> DataFrame:
@@ -84,20 +82,168 @@ def misread_words(vocab: DataFrame, ratio: int = 12, least: int = 8, share: floa
     return exact.groupBy("word").agg(F.max_by("right", F.struct("right_n", "right")).alias("right"))
 
 
-def _mixed(word: Column) -> Column:
+_BLANKS = r"[ \t\n\x0b\f\r]"
+_ANY_CASE = LETTERS + LETTERS.upper()
+#: CUT without backtracking into a word
+_CUT = re.compile(rf"(?<![{_ANY_CASE}0-9])([{_ANY_CASE}0-9]++(?:-[{_ANY_CASE}0-9]++)*+)([-‐‑–¬\xad])([ \t]*(?:\r?\n)[ \t]*|[ \t]+)([{LETTERS}]+)")
+_WORD = re.compile(WORD.replace("(?U)", ""), re.I)
+_LOW_WORD = re.compile(rf"[{LETTERS}0-9]++(?:-[{LETTERS}0-9]++)*+")
+#: No text without a match holds a cut word
+_MAY_CUT = re.compile(rf"[-‐‑–¬\xad](?<=[{_ANY_CASE}0-9].)[ \t\r\n]")
+_HYPHENED = re.compile(rf"[-‐‑–¬\xad](?<=[{LETTERS}].)[ \t]*(?:\r?\n[ \t]*|[ \t]+)(?=[{LETTERS}])")
+_MIXED_SIGNS = re.compile(r"[a-z0-9а-яё-]*")
+_MIXED_PART = re.compile(r"[a-z]|[а-яё][0-9]+[а-яё]|^[0-9][а-яё]{4,}$|[а-яё]{4,}[0-9]{1,2}$")
+_MIXED_NOT = re.compile(r"[0-9]+-?(?:я|й|ая|ый|ой|го|му|ти|х|ю|е|кг|мм|см|км|руб|млн|тыс|лет|шт)")
+_CYRILLIC = re.compile("[а-яё]{2}")
+
+
+def _mixed(word: str) -> bool:
     """Latin letters or figures inside a Cyrillic word."""
-    return word.rlike(r"^[a-z0-9а-яё-]*$") & word.rlike(r"[а-яё]{2}") & word.rlike(r"[a-z]|[а-яё][0-9]+[а-яё]|^[0-9][а-яё]{4,}$|[а-яё]{4,}[0-9]{1,2}$") & ~word.rlike(r"^[0-9]+-?(?:я|й|ая|ый|ой|го|му|ти|х|ю|е|кг|мм|см|км|руб|млн|тыс|лет|шт)$")
+    return bool(_CYRILLIC.search(word) and _MIXED_PART.search(word) and _MIXED_SIGNS.fullmatch(word) and not _MIXED_NOT.fullmatch(word))
+
+
+def _java(pattern: str) -> re.Pattern:
+    """A pattern of Java, where figures and blanks are those of ASCII."""
+    return re.compile(pattern.replace("(?iu)", "").replace(r"\d", "[0-9]").replace(r"\s", _BLANKS), re.I)
+
+
+_NUMBER = r"(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?"
+_ALONE = _java(rf"\s*{PAGE_NO}\s*")
+_MARKED = _java(PAGE_MARKED)
+_AT_END = _java(rf"(?:\s{{2,}}|\t|\s\|\s?){_NUMBER}\s*$")
+_AT_START = _java(rf"{_NUMBER}(?:\s{{2,}}|\t|\s\|\s)[^ \t\n\x0b\f\r]")
+_UNIT = re.compile(r"(?:шт|руб|кг|ед)\.?$")
+_NO_HEADER = re.compile(r"[•–▪◦*#>|\\<`~={\[-]")
+_ANY_BLANK = re.compile(r"[ \t\n\x0b\f\r\xa0]+")
+#: No right one is another's look-alike, so one after the other gives what all at once would
+_LOOK = [(a, b) for a, b in {a: b for a, b in reversed([*zip(*_LOOKS)])}.items() if a != b]
+
 
+def _looks(line: str) -> str:
+    for a, b in _LOOK:
+        line = line.replace(a, b)
+    return line
 
-def _edge_lines(pages: DataFrame, edge: int = 3) -> DataFrame:
-    """The first and last non-blank lines of every page and all lines of every block (a block can span pages), with their place."""
-    lines = F.filter(F.split(F.col("text"), r"\r?\n"), lambda x: F.trim(x) != "")
-    numbered = pages.select("src", "rec_id", "doc_id", "page", "far", F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.trim(F.regexp_replace(x, r"^[\s\x{a0}]+|[\s\x{a0}]+$", "")).alias("line"))).alias("lines"))
-    near = F.filter("lines", lambda x: (F.col("src") == "ir_blocks") | (x["at"] < edge) | (x["at"] >= F.size("lines") - edge))
-    return numbered.select("src", "rec_id", "doc_id", "page", (F.coalesce("far", F.lit(False)) & (F.size("lines") == 1)).alias("far"), F.size("lines").alias("n_lines"), "lines", F.explode(near).alias("x")).select(
-        "src", "rec_id", "doc_id", "page", "far", "n_lines", F.col("x.at").alias("at"), F.col("x.line").alias("line"),
-        F.when(F.col("x.at") > 0, F.element_at("lines", F.col("x.at"))["line"]).alias("before"), F.when(F.col("x.at") + 1 < F.size("lines"), F.element_at("lines", F.col("x.at") + 2)["line"]).alias("after"),
-    )
+
+def _edge_lines(src: str, doc_id: str | None, page: int | None, far: bool, text: str, edge: int = 3) -> tuple[list[tuple], list[tuple]]:
+    """Page numbers (line, whether alone) and lines that could be running ones (line, norm, raw).
+
+    Looked at are the first and last non-blank lines of every page and all lines
+    of every block (a block can span pages).  Running lines are compared without
+    the page number, look-alikes as one sign.
+    """
+    lines = [x.strip(" \t\n\x0b\f\r\xa0") for x in text.replace("\r\n", "\n").split("\n") if x.strip(" ")]
+    size, own = len(lines), None if page is None else str(page)
+    block = src == "ir_blocks"
+    far = far and size == 1
+    numbers, edges = [], []
+    for at in range(size) if block or size <= 2 * edge else (*range(edge), *range(size - edge, size)):
+        line = lines[at]
+        if len(line) > 160:
+            continue
+        number = m.group(1) if (m := _ALONE.fullmatch(line)) else ""
+        tail = _AT_END.search(line) if line[-1:] in _FIGURES else None
+        lead = m if line[:1] in _PAGE_FIRST and (m := _AT_START.match(line)) else None
+        if own is not None:
+            alone = number == own and not far
+            if alone and not _MARKED.search(line):
+                after, before = lines[at + 1] if at + 1 < size else "", lines[at - 1] if at else ""
+                alone = not (after.startswith("(") or _UNIT.search(before)) and (not block or size == 1)
+            if alone or tail and tail.group(1) == own or lead and lead.group(1) == own:
+                numbers.append((at, alone))
+        if doc_id is not None and not far and not number:
+            bare = (line[: tail.start()] if tail else line).strip(" ")
+            if len(bare) >= 5 and not _NO_HEADER.match(bare):
+                edges.append((at, _looks((raw := _ANY_BLANK.sub(" ", bare)).lower()), raw))
+    return numbers, edges
+
+
+_FIGURES = frozenset("0123456789")
+_PAGE_FIRST = frozenset("сСлЛpP")
+_STRINGS = pa.list_(pa.string())
+_SEEN = pa.schema(
+    [("src", pa.string()), ("rec_id", pa.int64()), ("doc_id", pa.string()), ("page", pa.int64()), ("words", _STRINGS), ("mixed", _STRINGS)]
+    + [("cuts", pa.list_(pa.struct([("own", pa.string()), ("joined", pa.string()), ("broken", pa.bool_())])))]
+    + [("numbers", pa.list_(pa.struct([("at", pa.int32()), ("alone", pa.bool_())])))]
+    + [("edges", pa.list_(pa.struct([("at", pa.int32()), ("norm", pa.string()), ("raw", pa.string())])))]
+    + [("counted", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))]
+)
+_SEEN_DDL = (
+    "src string, rec_id bigint, doc_id string, page bigint, words array<string>, mixed array<string>, cuts array<struct<own:string,joined:string,broken:boolean>>, "
+    "numbers array<struct<at:int,alone:boolean>>, edges array<struct<at:int,norm:string,raw:string>>, counted array<struct<word:string,n:bigint>>"
+)
+
+
+def _counted(counts: Counter, rows: int = 5000) -> Iterator[pa.RecordBatch]:
+    """Rows that hold nothing but words and their numbers."""
+    pairs = [(w, n) for w, n in counts.items() if len(w) > 1]
+    for at in range(0, len(pairs), rows):
+        words, ns = zip(*pairs[at : at + rows])
+        both = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(ns, pa.int64())], names=["word", "n"])
+        one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), both)
+        yield pa.RecordBatch.from_arrays([one if f.name == "counted" else pa.nulls(1, f.type) for f in _SEEN], schema=_SEEN)
+    counts.clear()
+
+
+def _lists(rows: list, kind: pa.ListType) -> pa.ListArray:
+    """Rows of strings or tuples as a column."""
+    ends, flat = [0], []
+    for r in rows:
+        flat.extend(r)
+        ends.append(len(flat))
+    if pa.types.is_struct(kind.value_type):
+        fields = list(kind.value_type)
+        columns = zip(*flat) if flat else [()] * len(fields)
+        values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
+    else:
+        values = pa.array(flat, kind.value_type)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _see(batches: Iterator[pa.RecordBatch], rows: int = 512, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Words, mixed words, cut words, page numbers and edge lines of every record; word counts in rows of their own, whenever ``most`` words have gathered."""
+    counts: Counter = Counter()
+    known: set[str] = set()
+    long: set[str] = set()
+    odd: set[str] = set()
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            part = batch.slice(first, rows)
+            lists: dict[str, list] = {k: [] for k in ("words", "mixed", "cuts", "numbers", "edges")}
+            for src, _, doc_id, page, far, text in zip(*[c.to_pylist() for c in part.columns]):
+                cuts = []
+                if _MAY_CUT.search(text):
+                    whole, at = [], 0
+                    for m in _CUT.finditer(text):
+                        a, b = m.group(1).lower(), m.group(4).lower()
+                        if len(b) > 1:
+                            cuts.append((f"{a}-{b}", a + b, "\n" in m.group(3)))
+                        whole.append(text[at : m.start()])
+                        at = m.end()
+                    counts.update(_LOW_WORD.findall(" ".join([*whole, text[at:]]).lower()))
+                    own = set(_LOW_WORD.findall(_HYPHENED.sub("", text).lower()))
+                else:
+                    every = _LOW_WORD.findall(text.lower())
+                    counts.update(every)
+                    own = set(every)
+                fresh = own - known
+                if fresh:
+                    if len(known) > most:
+                        known, long, odd, fresh = set(), set(), set(), own
+                    known |= fresh
+                    long.update(w for w in fresh if len(w) > 3 and not w.isdigit())
+                    odd.update(w for w in fresh if len(w) > 2 and _mixed(w))
+                lists["words"].append(own & long)
+                lists["mixed"].append(own & odd)
+                lists["cuts"].append(cuts)
+                numbers, edges = _edge_lines(src, doc_id, page, far or False, text)
+                lists["numbers"].append(numbers)
+                lists["edges"].append(edges)
+            by = {k: _lists(v, _SEEN.field(k).type) for k, v in lists.items()} | {k: part.column(k).cast(_SEEN.field(k).type) for k in ("src", "rec_id", "doc_id", "page")}
+            yield pa.RecordBatch.from_arrays([by[f.name] if f.name in by else pa.nulls(part.num_rows, f.type) for f in _SEEN], schema=_SEEN)
+            if len(counts) > most:
+                yield from _counted(counts)
+    yield from _counted(counts)
 
 
 @dataclass
@@ -116,40 +262,28 @@ class _Evidence:
 
 
 def _evidence(pages: DataFrame, least_pages: int, page_share: float) -> _Evidence:
-    pages = pages.where("text is not null and text != ''")
-    vocab = kept(vocabulary(pages))
+    texts = pages.where("text is not null and text != ''")
+    seen = kept(texts.select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "doc_id", F.col("page").cast("bigint").alias("page"), "far", "text").mapInArrow(_see, _SEEN_DDL))
+    vocab = kept(vocabulary(seen))
     bad = kept(misread_words(vocab))
+    each = lambda column: seen.where(F.size(column) > 0).select("src", "rec_id", "doc_id", "page", F.explode(column).alias("x"))
 
     # cut words: the corpus must not know the hyphenated form better than the joined one
-    cuts = pages.select("src", "rec_id", F.explode(F.regexp_extract_all("text", F.lit(CUT), F.lit(0))).alias("cut"))
-    part = lambda n: F.lower(F.regexp_extract("cut", CUT, n))
-    cuts = cuts.select("src", "rec_id", F.concat(part(1), part(4)).alias("joined"), F.concat_ws("-", part(1), part(4)).alias("own"), part(1).alias("a"), part(4).alias("b"), F.regexp_extract("cut", CUT, 3).rlike("\n").alias("broken"))
-    forms = cuts.select("joined", "own", "a", "b").distinct()
+    cuts = each("cuts").select("src", "rec_id", "x.*")
     n = lambda c: vocab.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
-    judged = forms.join(n("joined"), "joined", "left").join(n("own"), "own", "left").select("joined", "own", F.coalesce("n_joined", F.lit(0)).alias("n_joined"), F.coalesce("n_own", F.lit(0)).alias("n_own")).distinct()
-    cut = cuts.join(judged, ["joined", "own"]).where("n_own <= n_joined and (broken or n_joined > 0) and length(b) > 1").select("src", "rec_id", "own")
-
-    # misread words: whatever is no frequent word meets the misread ones
-    whole = F.regexp_replace("text", rf"([{LETTERS}])[-‐‑–¬\x{{ad}}][ \t]*(?:\r?\n[ \t]*|[ \t]+)(?=[{LETTERS}])", "$1")
-    words = pages.select("src", "rec_id", F.explode(F.array_distinct(F.filter(_words(whole), lambda w: F.length(w) >= 3))).alias("word"))
-    common = vocab.join(F.broadcast(vocab.agg(F.sum("n").alias("total")))).where("n >= greatest(8, total * 2e-6)").select("word")
-    seldom = words.join(F.broadcast(common), "word", "left_anti")
-    direct = seldom.where(_mixed(F.col("word")))
-    misread = seldom.join(bad, "word").select("src", "rec_id", "word", "right")
-
-    lines = kept(_edge_lines(pages).where("length(line) <= 160"))
-    number = F.regexp_extract("line", rf"^\s*{PAGE_NO}\s*$", 1)
-    tail = F.regexp_extract("line", r"(?iu)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", 1)
-    lead = F.regexp_extract("line", r"(?iu)^(?:(?:стр|с|лист|page|p)\.?\s*)(\d{1,4})(?:\s*(?:из|/|of)\s*\d{1,4})?(?:\s{2,}|\t|\s\|\s)\S", 1)
-    table = F.coalesce(F.col("after"), F.lit("")).rlike(r"^\(") | F.coalesce(F.col("before"), F.lit("")).rlike(r"(?:шт|руб|кг|ед)\.?$")
-    own = F.col("page").cast("string")
-    alone = (number == own) & (F.col("line").rlike(PAGE_MARKED) | (~table & ((F.col("src") != "ir_blocks") | (F.col("n_lines") == 1)))) & ~F.col("far")
-    pageno = lines.where(alone | (tail == own) | (lead == own)).select("src", "rec_id", "at", F.coalesce(alone, F.lit(False)).alias("alone"))
-
-    # running lines: without the page number, look-alikes as one sign
-    bare = F.trim(F.regexp_replace("line", r"(?iu)(?:\s{2,}|\t|\s\|\s?)(?:(?:стр|с|лист|page|p)\.?\s*)\d{1,4}(?:\s*(?:из|/|of)\s*\d{1,4})?\s*$", ""))
-    low = F.translate(F.lower(F.col("bare")), *_LOOKS)
-    edge = lines.where("doc_id is not null and not far").where(number == "").withColumn("bare", bare).where("length(bare) >= 5").where(~F.col("bare").rlike(r"^[•–▪◦*#>|\\<`~={\[-]")).withColumn("norm", F.regexp_replace(low, r"[\s\x{a0}]+", " "))
+    judged = cuts.select("joined", "own").distinct().join(n("joined"), "joined", "left").join(n("own"), "own", "left").select("joined", "own", F.coalesce("n_joined", F.lit(0)).alias("n_joined"), F.coalesce("n_own", F.lit(0)).alias("n_own"))
+    cut = cuts.join(judged, ["joined", "own"]).where("n_own <= n_joined and (broken or n_joined > 0)").select("src", "rec_id", "own")
+
+    # misread words, however often the same misreading recurs; words of mixed letters that are frequent and no misreading are words of the corpus
+    misread = each("words").select("src", "rec_id", F.col("x").alias("word")).join(bad, "word").select("src", "rec_id", "word", "right")
+    mixed = each("mixed").select("src", "rec_id", F.col("x").alias("word"))
+    total = vocab.agg(F.sum("n").alias("total"))
+    usual = mixed.select("word").distinct().join(vocab, "word").join(F.broadcast(total)).where("n >= greatest(8, total * 2e-6)").select("word").join(bad, "word", "left_anti")
+    direct = mixed.join(usual, "word", "left_anti")
+
+    pageno = each("numbers").select("src", "rec_id", "x.at", "x.alone")
+
+    edge = each("edges").select("src", "rec_id", "doc_id", "page", "x.at", "x.norm", "x.raw")
     spread = edge.select("src", "doc_id", "page").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"))
     repeats = edge.select("doc_id", "norm", "src", "page").distinct().groupBy("doc_id", "norm").agg(F.count(F.lit(1)).alias("n")).join(spread, "doc_id")
     running = repeats.where((F.col("n") >= least_pages) & (F.col("n") >= F.col("n_pages") * page_share) | (F.col("n") == 2) & (F.col("n_pages") <= 4)).select("doc_id", "norm", "n")
@@ -157,8 +291,8 @@ def _evidence(pages: DataFrame, least_pages: int, page_share: float) -> _Evidenc
     same = edge.join(running.select("doc_id", "norm"), ["doc_id", "norm"])
     rest = edge.join(running.select("doc_id", "norm"), ["doc_id", "norm"], "left_anti").where("length(norm) >= 8")
     variant = rest.join(running.select("doc_id", F.col("norm").alias("right")), "doc_id").where("abs(length(norm) - length(right)) <= 3").where(F.levenshtein("norm", "right", 3).between(1, 3)).where("length(right) >= 12 or levenshtein(norm, right) <= 1")
-    raw = same.groupBy("doc_id", "norm", F.regexp_replace("bare", r"[\s\x{a0}]+", " ").alias("raw")).agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id", "norm").agg(F.max_by("raw", F.struct("n", "raw")).alias("usual"))
-    off = same.join(raw, ["doc_id", "norm"]).where(F.lower(F.regexp_replace("bare", r"[\s\x{a0}]+", " ")) != F.lower("usual"))
+    raw = same.groupBy("doc_id", "norm", "raw").agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id", "norm").agg(F.max_by("raw", F.struct("n", "raw")).alias("usual"))
+    off = same.join(raw, ["doc_id", "norm"]).where(F.lower("raw") != F.lower("usual"))
     return _Evidence(vocab, bad, cut, direct, misread, pageno, same, variant, off)
 
 
@@ -214,8 +348,6 @@ def repaired_pages(pages: DataFrame, least_pages: int = 3, page_share: float = 0
 
 
 _REPAIRED = pa.schema([("src", pa.string()), ("rec_id", pa.int64()), ("text", pa.string())])
-_CUT = re.compile(CUT.replace(r"\x{ad}", "\xad").replace("(?iu)", "(?i:", 1).replace("(?-i)", ")"))
-_WORD = re.compile(WORD.replace("(?U)", ""), re.I)
 _PAGE = r"(?:стр|с|лист|page|p)\.?\s*\d{1,4}(?:\s*(?:из|/|of)\s*\d{1,4})?"
 _TAIL = re.compile(rf"(?:\s{{2,}}|\t|\s\|\s?){_PAGE}\s*$", re.I)
 _LEAD = re.compile(rf"^\s*{_PAGE}(?:\s{{2,}}|\t|\s\|\s)(?=\S)", re.I)

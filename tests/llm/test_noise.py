@@ -18,3 +18,13 @@ def test_registered():
     import __spark_entry__
 
     assert {"p1_found", "p1_text"} <= set(__spark_entry__.queries())
+
+
+def test_frequent_misreading_is_found(spark):
+    from docloom.llm.noise import noise
+
+    right, wrong, mixed = "Опись документа хранят", "Опись докумеита хранят", "Опись вложений и pdf-файлы"
+    rows = [("page_contents", n, None, n, right if n < 300 else wrong if n < 320 else mixed, False) for n in range(340)]
+    pages = spark.createDataFrame(rows, "src string, rec_id bigint, doc_id string, page int, text string, far boolean")
+    found = {(r["rec_id"], r["noise"]) for r in noise(pages).collect()}
+    assert found == {(n, "misread") for n in range(300, 320)}
