@@ -47,3 +47,49 @@ def test_spans_are_removed(spark):
     found = leaks(docs, items)
     assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(1, 7)]
     assert without_spans(docs, found).first()["text"] == "Before it. . After it."
+
+
+def _covered(index, n, seq, stretch):
+    """Share of an item by plain comparison of every diagonal."""
+    item, mark = index.words[n], set()
+    for d in range(-len(item), len(seq)):
+        same = [0 <= k + d < len(seq) and item[k] == seq[k + d] for k in range(len(item))]
+        runs, at = [], 0
+        while at < len(item):
+            end = at
+            while end < len(item) and same[end]:
+                end += 1
+            if end - at >= 2:
+                if runs and at - runs[-1][1] <= 2 and not any(c in index.figures for c in item[runs[-1][1] : at]):
+                    runs[-1] = [runs[-1][0], end, runs[-1][2] + end - at]
+                else:
+                    runs.append([at, end, end - at])
+            at = max(end, at + 1)
+        for a, b, hit in runs:
+            if b - a >= stretch and b - a - hit <= (b - a) // 9 + 1:
+                mark.update(range(a, b))
+            elif hit >= 3 and b - a - hit <= 1:
+                mark.update(k for x, y in index.sentences[n] if a <= x and y <= b for k in range(x, y))
+    return len(mark) / len(item)
+
+
+def test_many_documents_at_once_as_by_plain_comparison():
+    import random
+
+    rnd = random.Random(5)
+    word = lambda: rnd.choice("abcdefgh") * 2 if rnd.random() < 0.95 else rnd.choice("12")
+    items = [" ".join(word() if rnd.random() > 0.15 else word() + ". Aa" for _ in range(rnd.randint(6, 40))) for _ in range(30)]
+    index = Index(list(enumerate(items)))
+    keys = _Keys(index.classes)
+    texts = [""]
+    for _ in range(200):
+        parts = []
+        for _ in range(rnd.randint(1, 3)):
+            words = rnd.choice(items).split()
+            at = rnd.randrange(len(words))
+            parts += [w if rnd.random() > 0.08 else "other" for w in words[at : at + rnd.randint(4, 30)]] + ["some", "filler"]
+        texts.append(" ".join(parts))
+    seqs = [[keys[t] for t in tokens(x)] for x in texts]
+    got = [{n: share for n, share, _ in found} for found in index.all_leaked(seqs, 0.4, 10, 20, most=3000)]
+    plain = [{n: c for n in range(len(items)) if (c := _covered(index, n, s, 10)) >= 0.4} for s in seqs]
+    assert sum(map(len, plain)) > 100 and got == plain
