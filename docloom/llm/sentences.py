@@ -8,7 +8,8 @@ or goes on, and the cheapest way through it is taken.  The costs are evidence
 beside the gap (abbreviation kinds, initials, figures and the opening of what
 follows in spaced scripts) and in the unit that would end there (it must hold a
 word and close its brackets).  Spaceless text beside a gap is segmented by a
-word lattice over a dictionary, and the gap is classified by the final particle
+word lattice over a dictionary.  A wide terminator ends a sentence there unless
+the clause goes on; a gap at a narrow one is classified by the final particle
 before it and the opening word after it.  Thai has no terminator, its gaps are
 blanks between Thai signs that stand next to no figure.
 """
@@ -139,10 +140,11 @@ def _ends(text: str, start: int, at: int, end: int, stop: int) -> bool:
     if n >= stop:
         return True
     c, mark = text[n], text[at]
-    if mark in "！？" and _word_before(text, at) in FINAL and _words_at(text, n, OPENING):
-        return True
     if mark in "。！？":
-        return not (c in "，、；：" or (text[end - 1] in "。！？" and _words_at(text, n, GO_ON[-10:]) in ("，", "、")))
+        return c not in "，、；："
+    if mark in ".!?" and n == end and at > start and _wide(c) and _wide(text[at - 1]):
+        # a narrow terminator inside spaceless text may stand for anything: the words beside it decide
+        return _word_before(text, at) in FINAL or bool(_words_at(text, n, OPENING))
     if mark == "…" and (_wide(c) or _wide(text[at - 1])):
         return True
     if mark in "।॥؟۔":

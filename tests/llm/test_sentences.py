@@ -31,3 +31,9 @@ def test_nulls_repeats_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "Раз. Два.", "x"), (1, "Раз. Два.", "x"), (2, None, None), (3, " ", None)], "doc_id bigint, text string, start_pos string")
     assert sorted(tuple(r) for r in sentence_units(df).collect()) == [(1, 0, 4), (1, 0, 4), (1, 5, 9), (1, 5, 9)]
     assert sentence_units(df.limit(0)).count() == 0
+
+
+def test_final_particle_and_opening_word_at_narrow_terminators():
+    assert cut("资料齐全了吗?如果不齐请补交.首先核对编号。") == ["资料齐全了吗?", "如果不齐请补交.", "首先核对编号。"]
+    assert cut("資料はありますか?確認します.次に保管します。") == ["資料はありますか?", "確認します.", "次に保管します。"]
+    assert cut("附件第三.的内容已核对。") == ["附件第三.的内容已核对。"]
